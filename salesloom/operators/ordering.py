@@ -26,8 +26,11 @@ def bounded_broadcast(df: DataFrame, rows: int | None = None, limit: int = BROAD
     return F.broadcast(df) if rows <= limit else df
 
 
-def _within_groups(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [df[k].eqNullSafe(other[k]) for k in keys])
+def _join_groups(df: DataFrame, grouped: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Bring per-group values to the rows of each group; NULL keys are a group as well."""
+    renamed = grouped.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys])
+    return df.join(renamed, same).drop(*[f"_of_{k}" for k in keys])
 
 
 def _sorted_slices(df: DataFrame, sort: list) -> DataFrame:
@@ -79,8 +82,8 @@ def row_numbers(
     if not partition_by:
         return numbered
     first = numbered.groupBy(*partition_by).agg(F.min(name).alias("_first"))
-    return numbered.join(first, _within_groups(numbered, first, partition_by), "left").select(
-        *[numbered[c] for c in df.columns], (numbered[name] - F.col("_first") + 1).alias(name)
+    return _join_groups(numbered, first, partition_by).select(
+        *df.columns, (F.col(name) - F.col("_first") + 1).alias(name)
     )
 
 
@@ -117,8 +120,8 @@ def running_totals(
     first = summed.groupBy(*partition_by).agg(
         F.min_by(F.col(name) - F.col(amount), F.col(name)).alias("_before")
     )
-    return summed.join(first, _within_groups(summed, first, partition_by), "left").select(
-        *[summed[c] for c in df.columns], (summed[name] - F.col("_before")).alias(name)
+    return _join_groups(summed, first, partition_by).select(
+        *df.columns, (F.col(name) - F.col("_before")).alias(name)
     )
 
 
@@ -139,9 +142,7 @@ def with_group_totals(
         return df.withColumns({new: F.sum(old).over(window) for new, old in totals.items()})
     df = checkpointed(df)
     grouped = df.groupBy(*group_by).agg(*[F.sum(old).alias(new) for new, old in totals.items()])
-    return df.join(grouped, _within_groups(df, grouped, group_by)).select(
-        *[df[c] for c in df.columns], *totals
-    )
+    return _join_groups(df, grouped, group_by)
 
 
 def exact_quantiles(
