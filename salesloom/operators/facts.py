@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.functions.text import hashed_key
+from salesloom.operators.counting import split_by_repeats
 from salesloom.operators.ordering import bounded_broadcast
 from salesloom.schemas import FACT, conform
 
@@ -29,6 +30,11 @@ def lookup(lines: DataFrame, dim: DataFrame, on: dict[str, str], key: str, rows:
     return lines.join(bounded_broadcast(narrow, rows), match, "left").drop(*[f"_{d}" for d in on.values()])
 
 
+def identified(staged: DataFrame) -> DataFrame:
+    """Staged lines with their row id."""
+    return staged.withColumn("transaction_id", hashed_key(NATURAL_KEY))
+
+
 def sales_fact(staged: DataFrame, dims: dict[str, DataFrame], rows: dict[str, int] | None = None) -> DataFrame:
     """One fact row per staged line.
 
@@ -38,7 +44,7 @@ def sales_fact(staged: DataFrame, dims: dict[str, DataFrame], rows: dict[str, in
     """
     rows = rows or {}
     current = dims["dim_product"].where(F.col("is_current"))
-    lines = staged
+    lines = staged if "transaction_id" in staged.columns else identified(staged)
     for name, dim, on, key in (
         ("dim_date", dims["dim_date"], {"transaction_date": "date_day"}, "date_key"),
         ("dim_product", current, {"product_name": "product_name"}, "product_key"),
@@ -51,7 +57,6 @@ def sales_fact(staged: DataFrame, dims: dict[str, DataFrame], rows: dict[str, in
     return conform(
         lines.withColumns(
             {
-                "transaction_id": hashed_key(NATURAL_KEY),
                 "profit": F.coalesce("profit", F.col("net_sales") - F.col("cogs")),
                 "load_date": F.col("load_datetime"),
                 "has_missing_keys": missing,
@@ -61,28 +66,34 @@ def sales_fact(staged: DataFrame, dims: dict[str, DataFrame], rows: dict[str, in
     )
 
 
-def deduplicate(fact: DataFrame, policy: str = "error") -> DataFrame:
-    """Apply a policy for lines that share a ``transaction_id``.
+def deduplicate(fact: DataFrame, policy: str = "error", loaded: str = "load_date") -> DataFrame:
+    """Apply a policy for rows that share a ``transaction_id``.
 
-    ``keep_all`` leaves them, ``latest`` keeps the one loaded last (ties by the
-    measures), ``error`` fails the job on the first repeated id.
+    ``keep_all`` leaves them, ``latest`` keeps the one loaded last by column
+    ``loaded`` (ties by the measures), ``error`` raises if an id repeats.
     """
     if policy == "keep_all":
         return fact
-    if policy == "latest":
-        # A struct maximum combines before the shuffle, so a hot id stays one row per task.
-        rank = ["load_date", "net_sales", "gross_sales", "cogs", "profit", "sale_price"]
-        rest = [c for c in fact.columns if c not in {"transaction_id", *rank}]
-        newest = fact.groupBy("transaction_id").agg(F.max(F.struct(*rank, *rest)).alias("_row"))
-        picked = newest.select("transaction_id", "_row.*")
-        return picked.select(*[F.col(f.name).alias(f.name, metadata=f.metadata) for f in fact.schema])
+    if policy not in ("latest", "error"):
+        raise ValueError(f"unknown policy {policy!r}")
+    parts = split_by_repeats(fact, ["transaction_id"])
+    if parts is None:
+        return fact
+    shared, single = parts
     if policy == "error":
-        copies = fact.groupBy("transaction_id").agg(F.count("*").alias("n")).where("n > 1")
+        copies = shared.groupBy("transaction_id").agg(F.count("*").alias("n")).where("n > 1")
         repeated = copies.agg(F.count("*").alias("ids"), F.min("transaction_id").alias("id")).first()
         if repeated["ids"]:
             raise ValueError(f"{repeated['ids']} repeated transaction ids, for example {repeated['id']}")
         return fact
-    raise ValueError(f"unknown policy {policy!r}")
+    # A struct maximum combines before the shuffle, so a hot id stays one row per task.
+    rank = [loaded, "net_sales", "gross_sales", "cogs", "profit", "sale_price"]
+    rest = [c for c in fact.columns if c not in {"transaction_id", *rank}]
+    newest = shared.groupBy("transaction_id").agg(F.max(F.struct(*rank, *rest)).alias("_row"))
+    picked = newest.select("transaction_id", "_row.*")
+    return single.unionByName(
+        picked.select(*[F.col(f.name).alias(f.name, metadata=f.metadata) for f in fact.schema])
+    )
 
 
 def repeated_ids(fact: DataFrame) -> DataFrame:
@@ -93,8 +104,12 @@ def repeated_ids(fact: DataFrame) -> DataFrame:
     which that shortcut would not hold.
     """
     keys = F.struct(*KEYS, "has_missing_keys")
+    rows = fact.where(F.col("transaction_id").isNotNull()).select(
+        "transaction_id", *KEYS, "has_missing_keys"
+    )
+    parts = split_by_repeats(rows, ["transaction_id"])
     grouped = (
-        fact.where(F.col("transaction_id").isNotNull())
+        (rows.limit(0) if parts is None else parts[0])
         .groupBy("transaction_id")
         .agg(F.count("*").alias("n"), F.min(keys).alias("low"), F.max(keys).alias("high"))
         .where("n > 1")

@@ -143,52 +143,3 @@ def with_group_totals(
     df = checkpointed(df)
     grouped = df.groupBy(*group_by).agg(*[F.sum(old).alias(new) for new, old in totals.items()])
     return _join_groups(df, grouped, group_by)
-
-
-def exact_quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probabilities: Sequence[float],
-    single_task_rows: int = SINGLE_TASK_ROWS,
-) -> DataFrame:
-    """Exact interpolated quantiles: rows ``(column_name, probability, quantile)``.
-
-    Values are first counted, so a hot value is one row; running counts then
-    locate the two neighbours of each quantile.  No task holds a whole column.
-    """
-    pairs = [F.struct(F.lit(c).alias("n"), F.col(f"`{c}`").cast("double").alias("v")) for c in columns]
-    long = df.select(F.explode(F.array(*pairs)).alias("p")).select(
-        F.col("p.n").alias("column_name"), F.col("p.v").alias("value")
-    )
-    counts = long.where(F.col("value").isNotNull()).groupBy("column_name", "value").agg(
-        F.count("*").alias("copies")
-    )
-    upto = running_totals(
-        counts, ["value"], "copies", "upto", ["column_name"], single_task_rows=single_task_rows
-    )
-    sizes = upto.groupBy("column_name").agg(F.max("upto").alias("n"))
-    wanted = F.explode(F.array(*[F.lit(float(p)) for p in probabilities]))
-    targets = (
-        sizes.withColumn("probability", wanted)
-        .withColumn("position", (F.col("n") - 1) * F.col("probability"))
-        .withColumn("lower", F.floor("position"))
-        .withColumn("upper", F.ceil("position"))
-        .drop("n")
-    )
-    covers = (F.col("upto") - F.col("copies") <= F.col("rank")) & (F.col("rank") < F.col("upto"))
-
-    def value_at(rank: str, out: str) -> DataFrame:
-        ranks = targets.select("column_name", "probability", F.col(rank).alias("rank"))
-        # One row per column and probability.
-        return upto.join(F.broadcast(ranks), "column_name").where(covers).select(
-            "column_name", "probability", F.col("value").alias(out)
-        )
-
-    keys = ["column_name", "probability"]
-    low, high = value_at("lower", "low"), value_at("upper", "high")
-    weight = F.col("position") - F.col("lower")
-    return (
-        targets.join(low, keys)
-        .join(high, keys)
-        .select(*keys, (F.col("low") + (F.col("high") - F.col("low")) * weight).alias("quantile"))
-    )

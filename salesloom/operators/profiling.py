@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesloom.functions.measures import percent
 from salesloom.functions.text import month_label
-from salesloom.operators.ordering import exact_quantiles
+from salesloom.operators.counting import counts_by_value, surplus_rows
+from salesloom.operators.quantiles import exact_quantiles
+from salesloom.session import checkpointed
 
 CATEGORIES = ("segment_name", "country_name", "product_name", "discount_band")
 
@@ -28,8 +29,7 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """Rows that repeat an earlier row in every column; NULLs are equal."""
-    copies = df.groupBy(*df.columns).agg(F.count("*").alias("_n"))
-    return copies.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"))
+    return surplus_rows(df, df.columns, "duplicate_rows")
 
 
 def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -90,14 +90,14 @@ def value_counts(df: DataFrame, column: str, top: int = 5) -> DataFrame:
 
 
 def categorical_profile(df: DataFrame, columns: Sequence[str] = CATEGORIES, top: int = 5) -> DataFrame:
-    """Distinct values and the most frequent ones for each column."""
-
-    def one(column: str) -> DataFrame:
-        distinct = df.agg(F.count_distinct(column).alias("distinct_values"))
-        # One row on the right.
-        return value_counts(df, column, top).crossJoin(distinct)
-
-    return reduce(DataFrame.unionByName, [one(c) for c in columns])
+    """Distinct values and the most frequent ones for each column, from one scan."""
+    # The counts are read twice.
+    counts = checkpointed(counts_by_value(df, columns, "string").where(F.col("value").isNotNull()))
+    distinct = counts.groupBy("column_name").agg(F.count("*").alias("distinct_values"))
+    # A rank filter keeps only ``top`` rows per column and task before the shuffle.
+    by_size = Window.partitionBy("column_name").orderBy(F.desc("n"), "value")
+    best = counts.withColumn("_rank", F.row_number().over(by_size)).where(F.col("_rank") <= top)
+    return best.join(distinct, "column_name").select("column_name", "value", "n", "distinct_values")
 
 
 def date_coverage(df: DataFrame) -> DataFrame:

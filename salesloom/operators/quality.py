@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from salesloom.operators.counting import counts_by_value, repeated_values, surplus_rows
 from salesloom.operators.facts import KEYS
 from salesloom.plans.warehouse import Star
 
@@ -65,33 +66,25 @@ def not_null(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
     return check_rows(counts.unpivot([], list(columns), "column_name", "violations"), "not_null", table)
 
 
-def unique(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
-    """Values that occur more than once, per column; NULL is not a value."""
+def unique(df: DataFrame, table: str, columns: Sequence[str], large: bool = False) -> DataFrame:
+    """Values that occur more than once, per column; NULL is not a value.
+
+    ``large`` looks for repeated hashes first, so long values are not shuffled.
+    """
 
     def repeated(column: str) -> DataFrame:
-        sizes = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
-        return sizes.agg(_tally(F.col("n") > 1).alias("violations")).select(
+        named = df.where(F.col(column).isNotNull())
+        if large:
+            values = repeated_values(named, [column])
+        else:
+            values = named.groupBy(column).agg(F.count("*").alias("n")).where("n > 1")
+        return values.agg(F.count("*").alias("violations")).select(
             F.lit(column).alias("column_name"), "violations"
         )
 
     return check_rows(reduce(DataFrame.unionByName, map(repeated, columns)), "unique", table)
 
 
-def key_counts(fact: DataFrame, columns: Sequence[str] = KEYS) -> DataFrame:
-    """Rows per value of each key column, in one scan: ``(column_name, key, n)``."""
-    grouped = fact.groupingSets([[F.col(c)] for c in columns], *columns).agg(
-        F.grouping_id().alias("_set"), F.count("*").alias("n")
-    )
-    # grouping_id has a 0 bit for the one column of the set, the first column highest.
-    width = len(columns)
-    name, key = F.lit(None).cast("string"), F.lit(None).cast("bigint")
-    for position, column in enumerate(columns):
-        mine = F.col("_set") == (1 << width) - 1 - (1 << (width - 1 - position))
-        name = F.when(mine, column).otherwise(name)
-        key = F.when(mine, F.col(column).cast("bigint")).otherwise(key)
-    return grouped.select(name.alias("column_name"), key.alias("key"), "n")
-
-
 def orphan_counts(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """Fact rows per key column that match no dimension row.
 
@@ -107,7 +100,12 @@ def orphan_counts(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
         ],
     ).withColumn("known", F.lit(True))
     lost = F.col("known").isNull()
-    joined = key_counts(fact).join(known, ["column_name", "key"], "left")
+    # A zero count per column keeps every relationship in the result of an empty fact.
+    zeros = fact.sparkSession.createDataFrame(
+        [(k, None, 0) for k in KEYS], "column_name string, value bigint, n bigint"
+    )
+    keys = counts_by_value(fact, KEYS, "bigint").unionByName(zeros).withColumnRenamed("value", "key")
+    joined = keys.join(known, ["column_name", "key"], "left")
     return joined.groupBy("column_name").agg(
         F.sum("n").alias("fact_count"),
         F.sum(F.when(lost, F.col("n")).otherwise(0)).alias("orphans"),
@@ -194,7 +192,7 @@ def declared_tests(star: Star) -> DataFrame:
     """The key rules declared for each table."""
     tables = {**star.dims, FACT_NAME: star.fact}
     parts = [not_null(tables[t], t, c) for t, c in NOT_NULL.items()]
-    parts += [unique(tables[t], t, c) for t, c in UNIQUE.items()]
+    parts += [unique(tables[t], t, c, large=t == FACT_NAME) for t, c in UNIQUE.items()]
     parts.append(relationships(star.fact, star.dims))
     return reduce(DataFrame.unionByName, parts)
 
@@ -280,20 +278,27 @@ def dimension_counts(dims: dict[str, DataFrame], strict: bool = False) -> DataFr
 
 
 def fact_metrics(fact: DataFrame) -> DataFrame:
-    """One row of counts over the fact."""
+    """One row of counts over the fact.
+
+    ``duplicate_key_count`` is rows less distinct ids: surplus copies and rows without an id.
+    """
 
     def tally(condition: Column) -> Column:
         return F.sum(F.when(condition, 1).otherwise(0)).cast("bigint")
 
-    return fact.agg(
+    counts = fact.agg(
         F.count("*").alias("row_count"),
         tally(F.col("transaction_id").isNull()).alias("null_key_count"),
-        (F.count("*") - F.count_distinct("transaction_id")).alias("duplicate_key_count"),
         tally(F.col("has_missing_keys")).alias("records_with_missing_keys"),
         tally(F.col("net_sales") < 0).alias("negative_sales_count"),
         tally(F.col("profit") < 0).alias("negative_profit_count"),
         tally((F.col("units_sold") <= 0) & (F.col("net_sales") > 0)).alias("inconsistent_units_count"),
     )
+    named = fact.where(F.col("transaction_id").isNotNull())
+    # One row on either side.
+    both = counts.crossJoin(surplus_rows(named, ["transaction_id"], "_surplus"))
+    without_id = F.coalesce("null_key_count", F.lit(0))
+    return both.withColumn("duplicate_key_count", F.col("_surplus") + without_id).drop("_surplus")
 
 
 def data_quality_dashboard(star: Star, reports: dict[str, DataFrame], strict: bool = False) -> DataFrame:

@@ -17,6 +17,7 @@ from salesloom.functions.measures import (
     ratio,
 )
 from salesloom.functions.text import quarter_label
+from salesloom.operators.counting import only_set
 from salesloom.operators.ordering import (
     SINGLE_TASK_ROWS,
     bounded_broadcast,
@@ -222,11 +223,11 @@ def _leaderboard_totals(star: Star) -> dict[str, DataFrame]:
     grouped = lines.groupingSets(sets, "year", "quarter", *keys).agg(F.grouping_id().alias("_set"), *sums)
     # Five branches read the sums; without a stored copy each would scan the fact again.
     grouped = checkpointed(grouped)
-    # grouping_id has a 0 bit for each column of the set, the first column highest.
+    # grouping_id has a 0 bit for each column in the set, the first column highest.
     out = {"quarter": grouped.where((F.col("_set") == 0b001111) & F.col("year").isNotNull())}
     for position, (name, (via, by)) in enumerate(plain.items()):
         dim = star.dims[via[0]].select(keys[position], *by)
-        only = grouped.where(F.col("_set") == 0b111111 - (1 << (3 - position)))
+        only = grouped.where(only_set(position + 2, 6))
         joined = only.select(keys[position], *SUMS).join(dim, keys[position])
         out[name] = joined.groupBy(*by).agg(*[F.sum(s).alias(s) for s in SUMS])
     return out

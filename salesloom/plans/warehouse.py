@@ -95,9 +95,12 @@ def build_star(staged: DataFrame, path: str, settings: Settings = Settings()) ->
     """Full build of dimensions and fact from a stored staging relation."""
     dims = build_dimensions(staged, path, settings)
     rows = {name: dim.count() for name, dim in dims.items()}
-    fact_rows = facts.deduplicate(facts.sales_fact(staged, dims, rows), settings.policy)
+    # Repeats are settled on the stored lines, before five lookups widen the plan.
+    lines = facts.deduplicate(facts.identified(staged), settings.policy, loaded="load_datetime")
     fact = save_by_year(
-        fact_rows, f"{path}/fact_financial_transactions", grouped=settings.staged_by_year
+        facts.sales_fact(lines, dims, rows),
+        f"{path}/fact_financial_transactions",
+        grouped=settings.staged_by_year,
     )
     return Star(fact, dims, store_repeats(fact, f"{path}/repeated_ids"), rows)
 
