@@ -97,29 +97,36 @@ def deduplicate(fact: DataFrame, policy: str = "error", loaded: str = "load_date
 
 
 def repeated_ids(fact: DataFrame) -> DataFrame:
-    """Ids carried by more than one row, with their keys and the number of surplus rows.
+    """Surplus rows: ids carried by more than one row, and rows without an id, with their keys.
 
-    With it, ``count(distinct transaction_id)`` becomes an additive count:
-    rows less surplus.  ``mixed`` marks an id whose copies differ in a key, for
-    which that shortcut would not hold.
+    With it, ``count(distinct transaction_id)`` becomes additive: rows less
+    ``surplus``.  ``mixed`` marks an id whose copies differ in a key, for which
+    that shortcut would not hold.
     """
-    keys = F.struct(*KEYS, "has_missing_keys")
-    rows = fact.where(F.col("transaction_id").isNotNull()).select(
-        "transaction_id", *KEYS, "has_missing_keys"
-    )
-    parts = split_by_repeats(rows, ["transaction_id"])
-    grouped = (
-        (rows.limit(0) if parts is None else parts[0])
+    flags = [*KEYS, "has_missing_keys"]
+    rows = fact.select("transaction_id", *flags)
+    named = rows.where(F.col("transaction_id").isNotNull())
+    parts = split_by_repeats(named, ["transaction_id"])
+    copies = (
+        (named.limit(0) if parts is None else parts[0])
         .groupBy("transaction_id")
-        .agg(F.count("*").alias("n"), F.min(keys).alias("low"), F.max(keys).alias("high"))
+        .agg(
+            F.count("*").alias("n"), F.min(F.struct(*flags)).alias("low"), F.max(F.struct(*flags)).alias("high")
+        )
         .where("n > 1")
+        .select(
+            "transaction_id",
+            "low.*",
+            (F.col("n") - 1).alias("surplus"),
+            (~F.col("low").eqNullSafe(F.col("high"))).alias("mixed"),
+        )
     )
-    return grouped.select(
-        "transaction_id",
-        "low.*",
-        (F.col("n") - 1).alias("surplus"),
-        (~F.col("low").eqNullSafe(F.col("high"))).alias("mixed"),
+    nameless = (
+        rows.where(F.col("transaction_id").isNull())
+        .groupBy("transaction_id", *flags)
+        .agg(F.count("*").alias("surplus"), F.lit(False).alias("mixed"))
     )
+    return copies.unionByName(nameless)
 
 
 def with_year(fact: DataFrame) -> DataFrame:

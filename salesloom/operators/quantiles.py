@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.operators.counting import counts_by_value
@@ -22,31 +22,27 @@ def exact_quantiles(
     Values are first counted, so a hot value is one row; running counts then
     locate the two neighbours of each quantile.  No task holds a whole column.
     """
-    counts = counts_by_value(df, columns, "double").where(F.col("value").isNotNull())
-    upto = running_totals(counts, ["value"], "n", "upto", ["column_name"], single_task_rows=single_task_rows)
-    sizes = upto.groupBy("column_name").agg(F.max("upto").alias("size"))
-    wanted = F.explode(F.array(*[F.lit(float(p)) for p in probabilities]))
+    sizes = df.select(*[F.count(F.col(f"`{c}`")).alias(c) for c in columns]).unpivot(
+        [], list(columns), "column_name", "size"
+    )
     targets = (
-        sizes.withColumn("probability", wanted)
+        sizes.withColumn("probability", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
         .withColumn("position", (F.col("size") - 1) * F.col("probability"))
         .withColumn("lower", F.floor("position"))
         .withColumn("upper", F.ceil("position"))
-        .drop("size")
     )
-    covers = (F.col("upto") - F.col("n") <= F.col("rank")) & (F.col("rank") < F.col("upto"))
-
-    def value_at(rank: str, out: str) -> DataFrame:
-        ranks = targets.select("column_name", "probability", F.col(rank).alias("rank"))
-        # One row per column and probability.
-        return upto.join(F.broadcast(ranks), "column_name").where(covers).select(
-            "column_name", "probability", F.col("value").alias(out)
-        )
-
-    keys = ["column_name", "probability"]
-    low, high = value_at("lower", "low"), value_at("upper", "high")
-    weight = F.col("position") - F.col("lower")
-    return (
-        targets.join(low, keys)
-        .join(high, keys)
-        .select(*keys, (F.col("low") + (F.col("high") - F.col("low")) * weight).alias("quantile"))
+    counts = counts_by_value(df, columns, "double").where(F.col("value").isNotNull())
+    upto = running_totals(counts, ["value"], "n", "upto", ["column_name"], single_task_rows=single_task_rows)
+
+    def covers(rank: str) -> Column:
+        return (F.col("upto") - F.col("n") <= F.col(rank)) & (F.col(rank) < F.col("upto"))
+
+    # One target per column and probability.
+    hits = upto.join(F.broadcast(targets), "column_name").where(covers("lower") | covers("upper"))
+    neighbours = hits.groupBy("column_name", "probability").agg(
+        F.max(F.when(covers("lower"), F.col("value"))).alias("low"),
+        F.max(F.when(covers("upper"), F.col("value"))).alias("high"),
+        F.first(F.col("position") - F.col("lower")).alias("weight"),
     )
+    quantile = F.col("low") + (F.col("high") - F.col("low")) * F.col("weight")
+    return neighbours.select("column_name", "probability", quantile.alias("quantile"))

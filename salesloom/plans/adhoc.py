@@ -24,23 +24,12 @@ def fact_totals(star: Star) -> DataFrame:
     )
 
 
-def _by_date(star: Star, by: list[str], *aggregates) -> DataFrame:
-    """All fact rows, quarantined ones too, summed per day and then per calendar attribute."""
-    daily = star.fact.groupBy("date_key").agg(
-        F.count("*").alias("transaction_count"),
-        F.sum("net_sales").alias("total_sales"),
-        F.sum("profit").alias("total_profit"),
-    )
-    days = star.dims["dim_date"].select("date_key", *by)
-    return daily.join(days, "date_key").groupBy(*by).agg(*[F.sum(a).alias(a) for a in aggregates])
-
-
 def sales_by_month_name(star: Star, with_count: bool = True) -> DataFrame:
-    """Sales per year and month, months in alphabetical order."""
-    names = ["total_sales", "total_profit"]
-    return _by_date(
-        star, ["year", "month_name"], *(["transaction_count"] if with_count else []), *names
-    ).orderBy("year", "month_name")
+    """Sales per year and month, quarantined rows included, months in alphabetical order."""
+    by = ["year", "month_name"]
+    counted = "transaction_count" if with_count else None
+    totals = rollup(star, ["dim_date"], by, ["net_sales", "total_profit"], None, clean=False, rows=counted)
+    return _sales(totals).orderBy(*by)
 
 
 def _sales(frame: DataFrame) -> DataFrame:
@@ -142,7 +131,8 @@ def monthly_sales_flat(lines: DataFrame, calendar: DataFrame) -> DataFrame:
 def monthly_sales_star(star: Star) -> DataFrame:
     """The same figures from the star."""
     by = ["year", "month_name", "month_number"]
-    return _by_date(star, by, "total_sales", "total_profit").orderBy("year", "month_number")
+    totals = rollup(star, ["dim_date"], by, ["net_sales", "total_profit"], None, clean=False)
+    return _sales(totals).orderBy("year", "month_number")
 
 
 def category_sales_flat(lines: DataFrame, categories: DataFrame) -> DataFrame:
@@ -158,11 +148,16 @@ def category_sales_flat(lines: DataFrame, categories: DataFrame) -> DataFrame:
 
 def category_sales_star(star: Star, categories: DataFrame) -> DataFrame:
     """Sales per category over the current product versions of the star."""
-    sums = star.fact.groupBy("product_key").agg(
-        F.sum("net_sales").alias("net_sales"), F.sum("profit").alias("profit")
-    )
-    current = star.dims["dim_product"].where("is_current").select("product_key", "product_name")
-    return _category_totals(sums.join(current, "product_key").join(categories, "product_name", "left"))
+    sums = rollup(
+        star,
+        ["dim_product"],
+        ["product_name"],
+        ["net_sales", "total_profit"],
+        None,
+        where={"dim_product": F.col("is_current")},
+        clean=False,
+    ).withColumnRenamed("total_profit", "profit")
+    return _category_totals(sums.join(categories, "product_name", "left"))
 
 
 def _category_totals(sums: DataFrame) -> DataFrame:
@@ -198,17 +193,10 @@ def country_sales_flat(lines: DataFrame, regions: DataFrame) -> DataFrame:
 
 def country_sales_star(star: Star) -> DataFrame:
     """The same figures from the star, quarantined rows included."""
-    sums = star.fact.groupBy("geography_key").agg(
-        F.sum("net_sales").alias("total_sales"),
-        F.count_distinct("transaction_id").alias("transaction_count"),
-    )
-    places = star.dims["dim_geography"].select(
-        "geography_key", "region", F.col("country_name").alias("country")
-    )
-    return (
-        sums.join(places, "geography_key")
-        .select("region", "country", "total_sales", "transaction_count")
-        .orderBy("region", _falling("total_sales"), "country")
+    by = ["region", "country_name"]
+    totals = _sales(rollup(star, ["dim_geography"], by, ["net_sales"], clean=False))
+    return totals.withColumnRenamed("country_name", "country").orderBy(
+        "region", _falling("total_sales"), "country"
     )
 
 

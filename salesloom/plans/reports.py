@@ -20,11 +20,10 @@ from salesloom.functions.text import quarter_label
 from salesloom.operators.counting import only_set
 from salesloom.operators.ordering import (
     SINGLE_TASK_ROWS,
-    bounded_broadcast,
     row_numbers,
     with_group_totals,
 )
-from salesloom.plans.rollup import clean_lines, rollup
+from salesloom.plans.rollup import DIM_KEYS, fact_lines, rollup, task_sums, whole_sums
 from salesloom.plans.warehouse import Star
 from salesloom.session import checkpointed
 
@@ -199,37 +198,40 @@ def discount_analysis(star: Star) -> DataFrame:
     ).orderBy("discount_band", _falling("total_profit"))
 
 
+BOARD_SUMS = ("net_sales", "total_profit", "units_sold", "total_discounts")
+
+
 def _leaderboard_totals(star: Star) -> dict[str, DataFrame]:
     """Totals per quarter, product, segment, country and band for the dashboard."""
-    plain = {
-        "product": (["dim_product"], ["product_name"]),
-        "segment": (["dim_segment"], ["segment_name"]),
-        "country": (["dim_geography"], ["country_name", "region"]),
-        "band": (["dim_discount"], ["discount_band"]),
+    boards = {
+        "quarter": ("dim_date", ["year", "quarter"]),
+        "product": ("dim_product", ["product_name"]),
+        "segment": ("dim_segment", ["segment_name"]),
+        "country": ("dim_geography", ["country_name", "region"]),
+        "band": ("dim_discount", ["discount_band"]),
     }
     if star.repeats is None:
-        out = {n: rollup(star, via, by, count=None) for n, (via, by) in plain.items()}
-        out["quarter"] = rollup(star, ["dim_date"], ["year", "quarter"], count=None)
-        return out
+        return {name: rollup(star, [dim], by, BOARD_SUMS, None) for name, (dim, by) in boards.items()}
 
     # One scan: grouping sets add the fact up by each key, and the names join the sums.
-    calendar = star.dims["dim_date"].select("date_key", "year", "quarter")
-    lines = clean_lines(star).join(
-        bounded_broadcast(calendar, star.size("dim_date")), "date_key", "left"
+    keys = [DIM_KEYS[dim] for dim, _ in boards.values()]
+    tasked, sums = task_sums(star, fact_lines(star), BOARD_SUMS)
+    per_task = tasked.groupingSets([[F.col(k), F.col("_task")] for k in keys], *keys, "_task").agg(
+        F.grouping_id().alias("_bits"), *sums
+    )
+    # The task is the last grouping column and in every set, so its bit is dropped.
+    per_key = (
+        per_task.withColumn("_set", F.shiftright("_bits", 1))
+        .groupBy("_set", *keys)
+        .agg(*whole_sums(BOARD_SUMS))
     )
-    keys = ["product_key", "segment_key", "geography_key", "discount_key"]
-    sums = [F.sum(c).alias(t) for t, c in TOTALS.items()]
-    sets = [[F.col("year"), F.col("quarter")], *[[F.col(k)] for k in keys]]
-    grouped = lines.groupingSets(sets, "year", "quarter", *keys).agg(F.grouping_id().alias("_set"), *sums)
     # Five branches read the sums; without a stored copy each would scan the fact again.
-    grouped = checkpointed(grouped)
-    # grouping_id has a 0 bit for each column in the set, the first column highest.
-    out = {"quarter": grouped.where((F.col("_set") == 0b001111) & F.col("year").isNotNull())}
-    for position, (name, (via, by)) in enumerate(plain.items()):
-        dim = star.dims[via[0]].select(keys[position], *by)
-        only = grouped.where(only_set(position + 2, 6))
-        joined = only.select(keys[position], *SUMS).join(dim, keys[position])
-        out[name] = joined.groupBy(*by).agg(*[F.sum(s).alias(s) for s in SUMS])
+    per_key = checkpointed(per_key)
+    out = {}
+    for position, (name, (dim, by)) in enumerate(boards.items()):
+        mine = per_key.where(only_set(position, len(keys))).select(keys[position], *BOARD_SUMS)
+        named = mine.join(star.dims[dim].select(keys[position], *by), keys[position])
+        out[name] = named.groupBy(*by).agg(*whole_sums(BOARD_SUMS))
     return out
 
 

@@ -7,7 +7,9 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from salesloom.functions.measures import TOTALS
 from salesloom.operators import dimensions as dm
 from salesloom.operators import facts, incremental
 from salesloom.operators.staging import stage
@@ -24,19 +26,29 @@ class Star:
 
     ``repeats`` (see ``repeated_ids``) lets reports count distinct transactions
     additively; without it they fall back to an exact distinct count.  ``rows``
-    holds the sizes of the dimensions.
+    holds the sizes of the dimensions, ``small`` the measures known to be small;
+    both are filled on first use.
     """
 
     fact: DataFrame
     dims: dict[str, DataFrame]
     repeats: DataFrame | None = None
     rows: dict[str, int] = field(default_factory=dict)
+    small: dict[str, bool] = field(default_factory=dict)
 
     def size(self, dim: str) -> int:
         if dim not in self.rows:
             self.rows[dim] = self.dims[dim].count()
         return self.rows[dim]
 
+    def is_small(self, measure: str) -> bool:
+        """Whether every value of ``measure`` fits decimal(8,2); one narrow scan for all measures."""
+        if measure not in self.small:
+            wanted = list(dict.fromkeys([*TOTALS.values(), measure]))
+            fits = [F.coalesce(F.max(F.abs(m)) < 10**6, F.lit(True)).alias(m) for m in wanted]
+            self.small.update(self.fact.agg(*fits).first().asDict())
+        return self.small[measure]
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -86,9 +98,13 @@ def build_dimensions(
 
 
 def store_repeats(fact: DataFrame, path: str) -> DataFrame | None:
-    """Write the repeated ids of ``fact``; None if their copies disagree in a key."""
-    repeats = save_table(facts.repeated_ids(fact), path)
-    return None if repeats.where("mixed").limit(1).count() else repeats.drop("mixed")
+    """Write the surplus rows of ``fact``; None if copies of an id disagree in a key."""
+    return usable_repeats(save_table(facts.repeated_ids(fact), path))
+
+
+def usable_repeats(repeats: DataFrame) -> DataFrame | None:
+    mixed = repeats.agg(F.coalesce(F.max("mixed"), F.lit(False))).first()[0]
+    return None if mixed else repeats.drop("mixed")
 
 
 def build_star(staged: DataFrame, path: str, settings: Settings = Settings()) -> Star:
@@ -108,9 +124,7 @@ def build_star(staged: DataFrame, path: str, settings: Settings = Settings()) ->
 def load_star(spark: SparkSession, path: str) -> Star:
     dims = {name: spark.read.parquet(f"{path}/{name}") for name in DIMENSIONS}
     fact = spark.read.parquet(f"{path}/fact_financial_transactions")
-    repeats = spark.read.parquet(f"{path}/repeated_ids")
-    mixed = repeats.where("mixed").limit(1).count()
-    return Star(fact, dims, None if mixed else repeats.drop("mixed"))
+    return Star(fact, dims, usable_repeats(spark.read.parquet(f"{path}/repeated_ids")))
 
 
 @dataclass

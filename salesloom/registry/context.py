@@ -99,9 +99,9 @@ def raw_csv(spark: SparkSession, folder: str) -> str:
 
 
 def categories(spark: SparkSession, folder: str) -> DataFrame:
-    """One category per product name: its alphabetically first part type."""
+    """One category per product name: the type of its first part."""
     return (
         retail.table(spark, folder, "part")
         .groupBy(F.col("p_name").alias("product_name"))
-        .agg(F.min("p_type").alias("product_category"))
+        .agg(F.min_by("p_type", "p_partkey").alias("product_category"))
     )
