@@ -21,15 +21,18 @@ def only_set(position: int, width: int) -> Column:
 
 def counts_by_value(df: DataFrame, columns: Sequence[str], value_type: str) -> DataFrame:
     """Rows per value of each column, NULL included, in one scan: ``(column_name, value, n)``."""
-    grouped = df.groupingSets([[F.col(c)] for c in columns], *columns).agg(
+    # Plain positions as names, so that no column of ``df`` clashes with the result's.
+    names = [f"_c{i}" for i in range(len(columns))]
+    narrow = df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(columns, names)])
+    grouped = narrow.groupingSets([[F.col(n)] for n in names], *names).agg(
         F.grouping_id().alias("_set"), F.count("*").alias("n")
     )
-    name, value = F.lit(None).cast("string"), F.lit(None).cast(value_type)
-    for position, column in enumerate(columns):
+    label, value = F.lit(None).cast("string"), F.lit(None).cast(value_type)
+    for position, (column, name) in enumerate(zip(columns, names)):
         mine = only_set(position, len(columns))
-        name = F.when(mine, column).otherwise(name)
-        value = F.when(mine, F.col(column).cast(value_type)).otherwise(value)
-    return grouped.select(name.alias("column_name"), value.alias("value"), "n")
+        label = F.when(mine, column).otherwise(label)
+        value = F.when(mine, F.col(name).cast(value_type)).otherwise(value)
+    return grouped.select(label.alias("column_name"), value.alias("value"), "n")
 
 
 def split_by_repeats(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame] | None:
@@ -52,14 +55,14 @@ def split_by_repeats(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame,
 
 
 def repeated_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Combinations of ``columns`` on more than one row, with their row count ``n``; NULLs are equal."""
+    """Combinations of ``columns`` on more than one row, with their row count ``_copies``; NULLs are equal."""
     narrow = df.select(*columns)
     parts = split_by_repeats(narrow, columns)
     candidates = narrow.limit(0) if parts is None else parts[0]
-    return candidates.groupBy(*columns).agg(F.count("*").alias("n")).where("n > 1")
+    return candidates.groupBy(*columns).agg(F.count("*").alias("_copies")).where("_copies > 1")
 
 
 def surplus_rows(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
     """One row: how many rows repeat an earlier row in ``columns``."""
-    extra = F.sum(F.col("n") - 1)
+    extra = F.sum(F.col("_copies") - 1)
     return repeated_values(df, columns).agg(F.coalesce(extra, F.lit(0)).cast("bigint").alias(name))
