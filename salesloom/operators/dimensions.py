@@ -98,9 +98,8 @@ def keyed_members(
     new = row_numbers(
         matched.where(F.col(key).isNull()).drop(key), order_by, "_n", single_task_rows=single_task_rows
     )
-    top = existing.agg(F.coalesce(F.max(key), F.lit(0)).alias("_top"))
-    appended = new.join(F.broadcast(top)).withColumn(key, F.col("_n") + F.col("_top"))
-    return known.unionByName(appended.drop("_n", "_top"))
+    top = existing.agg(F.coalesce(F.max(key), F.lit(0))).first()[0]
+    return known.unionByName(new.withColumn(key, F.col("_n") + top).drop("_n"))
 
 
 def _members(staged: DataFrame, column: str) -> DataFrame:

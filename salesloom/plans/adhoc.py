@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesloom.functions.measures import growth_percent, percent, quotient
+from salesloom.operators.counting import repeated_values
 from salesloom.plans.rollup import rollup
 from salesloom.plans.warehouse import Star
 
@@ -172,12 +173,20 @@ def _category_totals(sums: DataFrame) -> DataFrame:
 def country_sales_flat(lines: DataFrame, regions: DataFrame) -> DataFrame:
     """Sales and distinct transactions per region and country of the flat table.
 
-    ``lines`` carries ``transaction_id``; a country without a region is ``Unknown``.
+    ``lines`` carries ``transaction_id``, which fixes the country; a country
+    without a region is ``Unknown``.
     """
-    # The id fixes the country, so counting per country first loses nothing.
-    sums = lines.groupBy("country_name").agg(
-        F.sum("net_sales").alias("total_sales"),
-        F.count_distinct("transaction_id").alias("transaction_count"),
+    # Distinct ids per country are rows less surplus copies; only hashes of the ids are shuffled.
+    named = lines.where(F.col("transaction_id").isNotNull())
+    copies = repeated_values(named, ["country_name", "transaction_id"])
+    surplus = copies.select("country_name", (1 - F.col("_copies")).alias("transaction_count"))
+    per_country = lines.groupBy("country_name").agg(
+        F.sum("net_sales").alias("total_sales"), F.count("transaction_id").alias("transaction_count")
+    )
+    sums = (
+        per_country.unionByName(surplus, allowMissingColumns=True)
+        .groupBy("country_name")
+        .agg(F.sum("total_sales").alias("total_sales"), F.sum("transaction_count").alias("transaction_count"))
     )
     known = regions.select("country_name", "region", F.col("country_name").alias("_known"))
     placed = sums.join(known, "country_name", "left")

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,6 +66,12 @@ class Settings:
     staged_by_year: bool = False
 
 
+def side_by_side(tasks: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+    """Run independent table builds as concurrent jobs."""
+    with ThreadPoolExecutor(len(tasks)) as pool:
+        return dict(zip(tasks, pool.map(lambda build: build(), tasks.values())))
+
+
 def build_dimensions(
     staged: DataFrame, path: str, settings: Settings, keep_keys: bool = False
 ) -> dict[str, DataFrame]:
@@ -93,8 +101,7 @@ def build_dimensions(
     def build(name: str) -> DataFrame:
         return save_table(builders[name](), f"{path}/{name}")
 
-    with ThreadPoolExecutor(len(builders)) as pool:
-        return dict(zip(builders, pool.map(build, builders)))
+    return side_by_side({name: partial(build, name) for name in builders})
 
 
 def store_repeats(fact: DataFrame, path: str) -> DataFrame | None:
@@ -154,7 +161,7 @@ def run_warehouse(
     load day in the fact) are merged into the stored fact.
     """
     from salesloom.operators.quality import run_checks, verdict
-    from salesloom.plans.reports import all_reports
+    from salesloom.plans.reports import REPORTS
 
     summary = RunSummary()
     clock = time.monotonic()
@@ -191,10 +198,10 @@ def run_warehouse(
         star = Star(fact, dims, store_repeats(fact, f"{star_path}/repeated_ids"), rows)
         done("fact")
 
-    reports = {
-        name: save_table(report, f"{root}/analytics/{name}")
-        for name, report in all_reports(star).items()
-    }
+    def report(name: str) -> DataFrame:
+        return save_table(REPORTS[name](star), f"{root}/analytics/{name}")
+
+    reports = side_by_side({name: partial(report, name) for name in REPORTS})
     done("reports")
     if not skip_checks:
         summary.checks = save_table(run_checks(star, reports), f"{root}/checks")
