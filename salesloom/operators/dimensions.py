@@ -85,7 +85,7 @@ def keyed_members(
     With ``existing`` (natural key and key columns of an earlier build) known
     members keep their key and new ones continue after the highest.
     """
-    order_by = list(order_by or natural_key)
+    order_by = [F.col(c).asc_nulls_last() for c in order_by or natural_key]
     if existing is None:
         return row_numbers(members, order_by, key, single_task_rows=single_task_rows)
     old = existing.select(*natural_key, key)

@@ -182,7 +182,7 @@ def ag10(spark, folder):
     "ag11_value_counts",
     on_lines(
         "SELECT 'country_name' AS column_name, country_name AS value, count(*) AS n FROM lines "
-        "GROUP BY country_name ORDER BY n DESC, value LIMIT 5"
+        "WHERE country_name IS NOT NULL GROUP BY country_name ORDER BY n DESC, value LIMIT 5"
     ),
 )
 def ag11(spark, folder):
@@ -190,7 +190,8 @@ def ag11(spark, folder):
 
 
 REPRICED = on_lines(
-    "SELECT product_name, count(DISTINCT manufacturing_price) AS prices FROM lines GROUP BY 1 "
+    "SELECT product_name, count(DISTINCT manufacturing_price) AS prices FROM lines "
+    "WHERE product_name IS NOT NULL GROUP BY 1 "
     "HAVING count(DISTINCT manufacturing_price) > 1"
 )
 
@@ -203,7 +204,7 @@ def ag12(spark, folder):
 DISCOUNT_SHARE = on_lines(
     "SELECT discount_band, CAST(sum(discounts) AS DOUBLE) AS discounts, "
     f"CAST(sum(gross_sales) AS DOUBLE) AS gross_sales, {pct('sum(discounts)', 'sum(gross_sales)')} AS discount_pct "
-    "FROM lines GROUP BY 1"
+    "FROM lines WHERE discount_band IS NOT NULL GROUP BY 1"
 )
 
 
@@ -378,8 +379,8 @@ def tk5(spark, folder):
 @query(
     "tk6_descending_totals",
     on_lines(
-        "SELECT country_name, CAST(sum(net_sales) AS DOUBLE) AS net_sales FROM lines GROUP BY 1 "
-        "ORDER BY sum(net_sales) DESC, 1 LIMIT 10"
+        "SELECT country_name, CAST(sum(net_sales) AS DOUBLE) AS net_sales FROM lines "
+        "WHERE country_name IS NOT NULL GROUP BY 1 ORDER BY sum(net_sales) DESC, 1 LIMIT 10"
     ),
 )
 def tk6(spark, folder):

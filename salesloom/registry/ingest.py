@@ -49,7 +49,9 @@ def _column_counts(names: dict[str, str]) -> str:
     return on_lines(" UNION ALL ".join(parts))
 
 
-PRESENT = {c: "CASE WHEN discount_band <> 'None' THEN profit END" if c == "Profit" else "*" for c in RAW_COLUMNS}
+# SQL for the landed content of each raw column: undiscounted lines come without a profit.
+PRESENT = {old: new for old, new in sg.RENAMES.items()}
+PRESENT["Profit"] = "CASE WHEN discount_band <> 'None' THEN profit END"
 
 
 def _present(df):
@@ -124,7 +126,8 @@ def snk2(spark, folder):
 def snk3(spark, folder):
     """Two raw files appended to the landed table, each with its own stamp."""
     raw = files.read_text_csv(spark, ctx.raw_csv(spark, folder), RAW_COLUMNS)
-    path, early = scratch_path(spark, "appended"), F.col("Year").cast("int") < 1998
+    path = scratch_path(spark, "appended")
+    early = F.coalesce(F.col("Year").cast("int") < 1998, F.lit(False))
     files.append_raw(raw.where(early), path, "first file")
     files.append_raw(raw.where(~early), path, "second file")
     landed = spark.read.parquet(path)
@@ -216,6 +219,7 @@ def snk8(spark, folder):
 
 UNREADABLE = {c: "count(*) FILTER (WHERE false)" for c in sg.RAW_NUMBER_COLUMNS}
 UNREADABLE["Discounts"] = "count(*) FILTER (WHERE discounts = 0)"
+UNREADABLE["Month Number"] = UNREADABLE["Year"] = "count(*) FILTER (WHERE transaction_date IS NULL)"
 UNREADABLE["Profit"] = "count(*) FILTER (WHERE discount_band = 'None')"
 
 

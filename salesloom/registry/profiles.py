@@ -71,7 +71,7 @@ def pf3(spark, folder):
     return pf.date_coverage(ctx.staged(spark, folder))
 
 
-@query("pf3_rows_by_year", on_lines("SELECT year, count(*) AS n FROM lines GROUP BY 1"))
+@query("pf3_rows_by_year", on_lines("SELECT year, count(*) AS n FROM lines WHERE year IS NOT NULL GROUP BY 1"))
 def pf3_years(spark, folder):
     return pf.rows_by_year(ctx.staged(spark, folder))
 
@@ -89,7 +89,8 @@ def pf4(spark, folder):
 
 def _ranked(by: str, measure: str, limit: str = "") -> str:
     return on_lines(
-        f"SELECT {by}, CAST(sum({measure}) AS DOUBLE) AS {measure} FROM lines GROUP BY 1 "
+        f"SELECT {by}, CAST(sum({measure}) AS DOUBLE) AS {measure} FROM lines "
+        f"WHERE {by} IS NOT NULL GROUP BY 1 "
         f"ORDER BY sum({measure}) DESC, 1 {limit}"
     )
 

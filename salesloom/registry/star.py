@@ -162,9 +162,8 @@ def inc3(spark, folder):
     star = ctx.star(spark, folder)
     fact = star.fact.drop("sale_year")
     path = scratch_path(spark, "merged-fact")
-    save_by_year(
-        deduplicate(fact.where(F.col("transaction_date") < F.lit("2000-01-01").cast("date")), "latest"), path
-    )
+    later = F.coalesce(F.col("transaction_date") >= F.lit("2000-01-01").cast("date"), F.lit(False))
+    save_by_year(deduplicate(fact.where(~later), "latest"), path)
     revised = fact.where(F.col("transaction_date") >= F.lit("1999-01-01").cast("date")).withColumn(
         "net_sales", (F.col("net_sales") * 2).cast("decimal(18,2)")
     )
