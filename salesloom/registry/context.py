@@ -41,8 +41,8 @@ def staged(spark: SparkSession, folder: str) -> DataFrame:
 
     def make() -> DataFrame:
         path = scratch_path(spark, "lines")
-        lines = retail.sales_lines(spark, folder, loaded_at())
-        lines.hint("rebalance", "year").write.partitionBy("year").parquet(path)
+        lines = retail.sales_lines(spark, folder, loaded_at(), by_year=True)
+        lines.write.partitionBy("year").parquet(path)
         return conform(spark.read.schema(STAGING).parquet(path), STAGING)
 
     return _once(spark, folder, "staged", make)
