@@ -98,15 +98,17 @@ def rollup(
         surplus = star.repeats.where(~F.col("has_missing_keys")) if clean else star.repeats
         surplus = surplus.withColumn(count, -F.col("surplus"))
     keys = [DIM_KEYS[name] for name in via]
+    late_days, attributes = None, []
     if "dim_date" in dims:
-        others = [star.size(name) for name in via if name != "dim_date"]
-        if "dim_date" in where or star.size("dim_date") * prod(others) > DAY_GROUPS:
-            days = dims.pop("dim_date")
-            attributes = [c for c in by if c in days.columns and c != "date_key"]
+        days = dims.pop("dim_date")
+        attributes = [c for c in by if c in days.columns and c != "date_key"]
+        if "dim_date" in where or star.size("dim_date") * prod(map(star.size, dims)) > DAY_GROUPS:
             lines = _calendar(star, lines, days, attributes)
             keys = [k for k in keys if k != "date_key"] + attributes
             if surplus is not None:
                 surplus = _calendar(star, surplus, days, attributes)
+        else:
+            late_days = days
 
     counted = [n for n in (count, rows) if n]
     names = [*totals, *counted]
@@ -115,6 +117,9 @@ def rollup(
     partial = partial.select(*keys, *names)
     if surplus is not None:
         partial = partial.unionByName(surplus.select(*keys, count), allowMissingColumns=True)
+    if late_days is not None:
+        partial = _calendar(star, partial, late_days, attributes)
+        keys = [k for k in keys if k != "date_key" or k in by] + attributes
     small = partial.groupBy(*keys).agg(*whole_sums(names))
     for name, dim in dims.items():
         wanted = [c for c in by if c in dim.columns and c != DIM_KEYS[name]]
