@@ -4,35 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.operators.ordering import bounded_broadcast
 from salesloom.session import checkpointed
 
 
-def only_set(position: int, width: int) -> Column:
-    """Rows of the grouping set that holds just column ``position`` of ``width``.
-
-    grouping_id has a 0 bit for a column in the set, the first column highest.
-    """
-    return F.col("_set") == (1 << width) - 1 - (1 << (width - 1 - position))
-
-
 def counts_by_value(df: DataFrame, columns: Sequence[str], value_type: str) -> DataFrame:
     """Rows per value of each column, NULL included, in one scan: ``(column_name, value, n)``."""
-    # Plain positions as names, so that no column of ``df`` clashes with the result's.
-    names = [f"_c{i}" for i in range(len(columns))]
-    narrow = df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(columns, names)])
-    grouped = narrow.groupingSets([[F.col(n)] for n in names], *names).agg(
-        F.grouping_id().alias("_set"), F.count("*").alias("n")
-    )
-    label, value = F.lit(None).cast("string"), F.lit(None).cast(value_type)
-    for position, (column, name) in enumerate(zip(columns, names)):
-        mine = only_set(position, len(columns))
-        label = F.when(mine, column).otherwise(label)
-        value = F.when(mine, F.col(name).cast(value_type)).otherwise(value)
-    return grouped.select(label.alias("column_name"), value.alias("value"), "n")
+    typed = df.select(*[F.col(f"`{c}`").cast(value_type).alias(c) for c in columns])
+    pairs = typed.unpivot([], [F.col(f"`{c}`") for c in columns], "column_name", "value")
+    return pairs.groupBy("column_name", "value").agg(F.count("*").alias("n"))
 
 
 def split_by_repeats(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame] | None:

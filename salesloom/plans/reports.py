@@ -17,7 +17,6 @@ from salesloom.functions.measures import (
     ratio,
 )
 from salesloom.functions.text import quarter_label
-from salesloom.operators.counting import only_set
 from salesloom.operators.ordering import (
     SINGLE_TASK_ROWS,
     row_numbers,
@@ -213,24 +212,25 @@ def _leaderboard_totals(star: Star) -> dict[str, DataFrame]:
     if star.repeats is None:
         return {name: rollup(star, [dim], by, BOARD_SUMS, None) for name, (dim, by) in boards.items()}
 
-    # One scan: grouping sets add the fact up by each key, and the names join the sums.
+    # One scan: each row counts once under every one of its keys, and the names join the sums.
     keys = [DIM_KEYS[dim] for dim, _ in boards.values()]
     tasked, sums = task_sums(star, fact_lines(star), BOARD_SUMS)
-    per_task = tasked.groupingSets([[F.col(k), F.col("_task")] for k in keys], *keys, "_task").agg(
-        F.grouping_id().alias("_bits"), *sums
+    measures = [TOTALS[t] for t in BOARD_SUMS]
+    by_key = tasked.unpivot(
+        ["_task", *measures], [F.col(k).cast("bigint").alias(k) for k in keys], "_board", "_key"
     )
-    # The task is the last grouping column and in every set, so its bit is dropped.
     per_key = (
-        per_task.withColumn("_set", F.shiftright("_bits", 1))
-        .groupBy("_set", *keys)
+        by_key.groupBy("_board", "_key", "_task")
+        .agg(*sums)
+        .groupBy("_board", "_key")
         .agg(*whole_sums(BOARD_SUMS))
     )
     # Five branches read the sums; without a stored copy each would scan the fact again.
     per_key = checkpointed(per_key)
     out = {}
-    for position, (name, (dim, by)) in enumerate(boards.items()):
-        mine = per_key.where(only_set(position, len(keys))).select(keys[position], *BOARD_SUMS)
-        named = mine.join(star.dims[dim].select(keys[position], *by), keys[position])
+    for key, (name, (dim, by)) in zip(keys, boards.items()):
+        mine = per_key.where(F.col("_board") == key).withColumnRenamed("_key", key)
+        named = mine.join(star.dims[dim].select(key, *by), key)
         out[name] = named.groupBy(*by).agg(*whole_sums(BOARD_SUMS))
     return out
 
