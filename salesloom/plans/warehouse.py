@@ -157,8 +157,10 @@ def run_warehouse(
     """Load, stage, dimensions, fact, reports, checks: in order, below ``root``.
 
     A step that raises ends the run.  ``full_refresh`` rebuilds everything from
-    the landed rows; otherwise rows landed after ``start`` (default: the latest
-    load day in the fact) are merged into the stored fact.
+    the landed rows; otherwise rows landed on days after ``start`` are merged
+    into the stored fact.  Without ``start`` the latest load day of the fact is
+    taken, that day included: a second load on one day is not missed, and
+    lines already there are replaced by themselves.
     """
     from salesloom.operators.quality import run_checks, verdict
     from salesloom.plans.reports import REPORTS
@@ -190,7 +192,7 @@ def run_warehouse(
         done("incremental start")
         dims = build_dimensions(staged, star_path, settings, keep_keys=True)
         done("dimensions")
-        new = incremental.loaded_after(staged, summary.incremental_start)
+        new = incremental.loaded_after(staged, summary.incremental_start, inclusive=start is None)
         rows = {name: dim.count() for name, dim in dims.items()}
         fact = incremental.upsert(
             spark, fact_path, facts.sales_fact(new, dims, rows), policy=settings.policy

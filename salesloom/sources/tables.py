@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from salesloom.operators.facts import YEAR_COLUMN, with_year
@@ -18,9 +20,19 @@ def save_view(df: DataFrame, name: str) -> DataFrame:
 
 
 def save_table(df: DataFrame, path: str) -> DataFrame:
-    """Rebuild the table at ``path`` and return it as stored."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Rebuild the table at ``path`` and return it as stored.
+
+    The new content is complete before it takes the place of the old one, so a
+    failed job leaves the previous table.  ``df`` may even read that table.
+    """
+    spark, new = df.sparkSession, f"{path}.new-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(new)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(target, True)
+    if not files.rename(spark._jvm.org.apache.hadoop.fs.Path(new), target):
+        raise OSError(f"could not move {new} to {path}")
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def save_by_year(df: DataFrame, path: str, mode: str = "overwrite", grouped: bool = False) -> DataFrame:

@@ -154,6 +154,7 @@ def test_rows_after_the_start(lines):
     staged = lines({"load_datetime": datetime(2020, 1, 1, 23)}, {"load_datetime": datetime(2020, 1, 2)})
     assert inc.loaded_after(staged).count() == 2
     assert inc.loaded_after(staged, "2020-01-01").count() == 1
+    assert inc.loaded_after(staged, "2020-01-02", inclusive=True).count() == 1
 
 
 def test_schema_sync(spark):

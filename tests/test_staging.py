@@ -92,3 +92,14 @@ def test_tables(spark, tmp_path, lines):
     assert column_comments(spark.read.parquet(path))["net_sales"] == "gross sales less discounts"
     tables.save_view(again, "one_line")
     assert tables.read_table(spark, "one_line").count() == 1
+
+
+def test_failed_rebuild_keeps_the_table(spark, tmp_path):
+    path = str(tmp_path / "kept")
+    tables.save_table(spark.range(3), path)
+    broken = spark.range(3).select((F.lit(1) / (F.col("id") - F.col("id"))).alias("x"))
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        tables.save_table(broken, path)
+    assert spark.read.parquet(path).count() == 3
+    doubled = spark.read.parquet(path).unionByName(spark.read.parquet(path))
+    assert tables.save_table(doubled, path).count() == 6

@@ -52,8 +52,8 @@ def test_slices_equal_one_full_load(spark, files, tmp_path):
     one = run_warehouse(spark, sliced, str(files / "first"), settings=SPAN)
     assert one.passed and one.incremental_start is None
     before = load_star(spark, f"{sliced}/staging").dims["dim_segment"].select("segment_name", "segment_key").collect()
-    two = run_warehouse(spark, sliced, str(files / "second"), start="2000-01-01", settings=SPAN)
-    assert two.passed and two.incremental_start == "2000-01-01"
+    two = run_warehouse(spark, sliced, str(files / "second"), settings=SPAN)
+    assert two.passed and two.incremental_start is not None
     run_warehouse(spark, full, str(files / "both"), full_refresh=True, settings=SPAN)
     star = load_star(spark, f"{sliced}/staging")
     after = {r["segment_name"]: r["segment_key"] for r in star.dims["dim_segment"].collect()}
