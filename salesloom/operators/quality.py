@@ -156,26 +156,22 @@ def row_rules(fact: DataFrame) -> DataFrame:
 
 def reconciliation(fact: DataFrame, reports: dict[str, DataFrame]) -> DataFrame:
     """Totals of three reports against the whole fact: ``(name, fact_total, report_total, difference)``."""
-    whole = fact.agg(F.sum("net_sales").alias("sales"), F.sum("profit").alias("profit"))
     pairs = (
-        ("monthly_sales", "sales", "monthly_sales_analysis", "net_sales"),
+        ("monthly_sales", "net_sales", "monthly_sales_analysis", "net_sales"),
         ("product_profit", "profit", "product_profitability", "total_profit"),
-        ("segment_sales", "sales", "segment_performance", "net_sales"),
+        ("segment_sales", "net_sales", "segment_performance", "net_sales"),
     )
-    sides = whole
+    # One scan of the fact for all its totals, turned into one row per check.
+    wanted = [F.sum(total).cast("decimal(38,2)").alias(name) for name, total, _, _ in pairs]
+    rows = fact.agg(*wanted).unpivot([], [name for name, *_ in pairs], "name", "fact_total")
     for name, _, report, column in pairs:
-        # One row on either side.
-        sides = sides.crossJoin(reports[report].agg(F.sum(column).alias(name)))
-    checks = [
-        F.struct(
-            F.lit(name).alias("name"),
-            F.col(total).cast("decimal(38,2)").alias("fact_total"),
-            F.col(name).cast("decimal(38,2)").alias("report_total"),
-        )
-        for name, total, _, _ in pairs
-    ]
-    rows = sides.select(F.explode(F.array(*checks)).alias("c")).select("c.*")
-    return rows.withColumn("difference", F.abs(F.col("fact_total") - F.col("report_total")))
+        total = F.sum(column).cast("decimal(38,2)").alias("report_total")
+        one = reports[report].agg(F.lit(name).alias("name"), total)
+        rows = rows.unionByName(one, allowMissingColumns=True)
+    sides = rows.groupBy("name").agg(
+        F.max("fact_total").alias("fact_total"), F.max("report_total").alias("report_total")
+    )
+    return sides.withColumn("difference", F.abs(F.col("fact_total") - F.col("report_total")))
 
 
 def reconciled(fact: DataFrame, reports: dict[str, DataFrame], tolerance: int = 1) -> DataFrame:
@@ -295,10 +291,12 @@ def fact_metrics(fact: DataFrame) -> DataFrame:
         tally((F.col("units_sold") <= 0) & (F.col("net_sales") > 0)).alias("inconsistent_units_count"),
     )
     named = fact.where(F.col("transaction_id").isNotNull())
-    # One row on either side.
-    both = counts.crossJoin(surplus_rows(named, ["transaction_id"], "_surplus"))
+    copies = surplus_rows(named, ["transaction_id"], "_surplus")
+    # Two one-row frames folded into one.
+    both = counts.unionByName(copies, allowMissingColumns=True)
+    folded = both.agg(*[F.max(c).alias(c) for c in both.columns])
     without_id = F.coalesce("null_key_count", F.lit(0))
-    return both.withColumn("duplicate_key_count", F.col("_surplus") + without_id).drop("_surplus")
+    return folded.withColumn("duplicate_key_count", F.col("_surplus") + without_id).drop("_surplus")
 
 
 def data_quality_dashboard(star: Star, reports: dict[str, DataFrame], strict: bool = False) -> DataFrame:

@@ -144,7 +144,10 @@ def bq8_star(spark, folder):
     return adhoc.monthly_sales_star(ctx.star(spark, folder))
 
 
-CATEGORIES = "categories AS (SELECT p_name AS product_name, arg_min(p_type, p_partkey) AS product_category FROM part GROUP BY 1)"
+CATEGORIES = (
+    "categories AS (SELECT p_name AS product_name, arg_min(p_type, p_partkey) AS product_category "
+    "FROM part GROUP BY 1)"
+)
 MARGIN = f"{quotient('sum(f.profit)', 'sum(f.net_sales)')} * 100 AS profit_margin"
 
 

@@ -8,6 +8,7 @@ from salesloom.functions.measures import percent, quotient
 from salesloom.functions.text import quarter_label
 from salesloom.operators import profiling as pf
 from salesloom.operators.dimensions import product_versions
+from salesloom.operators.facts import sales_fact
 from salesloom.operators.incremental import high_water
 from salesloom.operators.quality import dimension_counts, fact_metrics
 from salesloom.plans.reports import executive_dashboard
@@ -16,6 +17,7 @@ from salesloom.registry import context as ctx
 from salesloom.registry import query
 from salesloom.registry.oracle import effect_class, on_lines, on_star, pct
 from salesloom.registry.oracle import quotient as sql_quotient
+from salesloom.registry.star import arriving_daily
 
 
 @query(
@@ -83,12 +85,12 @@ def ag4(spark, folder):
     )
 
 
-@query("ag5_high_water_mark", on_lines("SELECT DATE '2002-01-01' AS high_water, max(transaction_date) AS last_sale FROM lines"))
+@query("ag5_high_water_mark", on_lines("SELECT max(transaction_date) AS high_water FROM lines"))
 def ag5(spark, folder):
-    fact = ctx.star(spark, folder).fact
-    # One row on either side.
-    last = fact.agg(F.max("transaction_date").alias("last_sale"))
-    return high_water(fact).select(F.to_date("high_water").alias("high_water")).crossJoin(last)
+    """Latest load day of a fact whose lines were landed on their sales days."""
+    star = ctx.star(spark, folder)
+    fact = sales_fact(arriving_daily(spark, folder), star.dims, star.rows)
+    return high_water(fact).select(F.to_date("high_water").alias("high_water"))
 
 
 CONDITIONAL = (

@@ -42,7 +42,8 @@ def pf1_numbers(spark, folder):
 @query(
     "pf1_duplicate_lines",
     on_lines(
-        "SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_rows FROM (SELECT count(*) AS n FROM lines GROUP BY "
+        "SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_rows "
+        "FROM (SELECT count(*) AS n FROM lines GROUP BY "
         + ", ".join(_TYPES)
         + ")"
     ),

@@ -110,7 +110,7 @@ def fc1(spark, folder):
     return sales_fact(ctx.staged(spark, folder), star.dims, star.rows)
 
 
-def _by_arrival(spark, folder):
+def arriving_daily(spark, folder):
     """The staged lines as if each had been landed at the end of its sales day."""
     stamp = F.col("transaction_date").cast("timestamp")
     return ctx.staged(spark, folder).withColumn("load_datetime", stamp)
@@ -122,7 +122,7 @@ def _by_arrival(spark, folder):
 )
 def inc1(spark, folder):
     star = ctx.star(spark, folder)
-    fact = sales_fact(_by_arrival(spark, folder), star.dims, star.rows)
+    fact = sales_fact(arriving_daily(spark, folder), star.dims, star.rows)
     start = inc.incremental_start(fact)
     return fact.agg(F.lit(start).alias("incremental_start"), F.count("*").alias("n"))
 
@@ -135,7 +135,7 @@ def inc1(spark, folder):
     ),
 )
 def inc2(spark, folder):
-    new = inc.loaded_after(_by_arrival(spark, folder), "1999-12-31")
+    new = inc.loaded_after(arriving_daily(spark, folder), "1999-12-31")
     return new.groupBy("transaction_date").agg(
         F.count("*").alias("n"), F.sum("net_sales").alias("net_sales")
     )
