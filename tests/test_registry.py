@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import compare, connect
+from salesloom import registry
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -17,7 +18,7 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(registry.QUERIES))
 def test_query_equals_sql(spark, con, name):
     assert name in entry.oracle_sql()
     result = compare(spark, con, FOLDER, name)
