@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm import line_dedup, quality_rules
-from salesloom.llm.common import ID, TEXT_HASH, read_table
+from salesloom.llm import decontaminate, line_dedup, minhash_dedup, packing, quality_rules, token_output
+from salesloom.llm.common import ID, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,6 +24,31 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_decontamination")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document: whether it holds a passage of the benchmark, of which items, and confirmed seed hits."""
+    found = decontaminate.contamination(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+    return found.select(F.col(ID).alias("doc_id"), "contaminated", "items", "hits")
+
+
+@query("op5_token_output")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document, from the files read back: ids before it, number of ids, their checksum."""
+    return token_output.token_round_trip(read_table(spark, folder, "documents"))
+
+
+@query("op6_best_fit_packing")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    """Per piece of a document: its bin and place."""
+    return packing.pack_documents(read_table(spark, folder, "documents"))
+
+
+@query("op7_minhash_dedup")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document: size of its shingle set, its group, whether it stays."""
+    return minhash_dedup.near_duplicates(read_table(spark, folder, "documents"))
+
+
 @query("op8_line_dedup")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     """Per document: lines with a word, how many of them go, and their places."""
