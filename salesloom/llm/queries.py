@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm import decontaminate, line_dedup, minhash_dedup, packing, quality_rules, token_output
+from salesloom.llm import (
+    decontaminate,
+    line_dedup,
+    minhash_dedup,
+    packing,
+    quality_classifier,
+    quality_rules,
+    substring_dedup,
+    token_counts,
+    token_output,
+    toxicity,
+)
 from salesloom.llm.common import ID, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +42,26 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col(ID).alias("doc_id"), "contaminated", "items", "hits")
 
 
+@query("op2_token_counts")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document: unigram tokens of the whole text, and the score of the best segmentation."""
+    return token_counts.token_counts(read_table(spark, folder, "documents"))
+
+
+@query("op3_suffix_array_dedup")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document: its bytes, those that an earlier document has, their spans, the hash of the rest."""
+    return substring_dedup.remove_repeats(read_table(spark, folder, "documents")).drop("kept")
+
+
+@query("op4_quality_classifier")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document: whether it is held out, its quality score, and the prediction."""
+    return quality_classifier.quality_scores(
+        read_table(spark, folder, "documents"), read_table(spark, folder, "labels")
+    )
+
+
 @query("op5_token_output")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     """Per document, from the files read back: ids before it, number of ids, their checksum."""
@@ -61,6 +92,12 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op9_toxicity")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document: the probability of each category, and whether it is toxic."""
+    return toxicity.toxicity(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+
+
 @query("op10_quality_rules")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     """Counts, base failure and verdict of every document."""
