@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -12,6 +13,17 @@ from salesloom.llm.common import stored
 from salesloom.llm.components import components
 
 
+@dataclass(frozen=True)
+class Marks:
+    """What is known of each ``node`` besides its size, and which pairs that allows.
+
+    ``allowed`` gets the suffixes of the two sides' columns.
+    """
+
+    table: DataFrame
+    allowed: Callable[[str, str], Column]
+
+
 def shared_buckets(buckets: DataFrame) -> DataFrame:
     """Rows (``bucket``, ``node``, ``size``) of buckets with two nodes or more, with their smallest node.
 
@@ -48,22 +60,29 @@ def _hub_pairs(members: DataFrame, salt: int, percent: int) -> DataFrame:
     )
 
 
-def _cross_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a bucket that no component joins yet and whose sizes allow the similarity."""
+def _cross_pairs(members: DataFrame, percent: int, marks: Marks | None) -> DataFrame:
+    """All pairs of a bucket that no component joins yet and whose sizes and marks allow the similarity."""
     open_buckets = members.groupBy("bucket").agg(F.min("component").alias("c1"), F.max("component").alias("c2"))
     left = members.join(open_buckets.where("c1 <> c2").select("bucket"), "bucket", "left_semi")
-    right = left.select("bucket", *[F.col(c).alias(f"{c}_2") for c in ("node", "component", "size")])
+    allowed = F.expr(_could("size", "size_2", percent))
+    if marks is not None:
+        left = left.join(marks.table, "node")
+        allowed = allowed & marks.allowed("", "_2")
+    right = left.select("bucket", *[F.col(c).alias(f"{c}_2") for c in left.columns if c != "bucket"])
     return (
         left.join(right, "bucket")
-        .where("node < node_2 and component <> component_2")
-        .where(_could("size", "size_2", percent))
+        .where((F.col("node") < F.col("node_2")) & (F.col("component") != F.col("component_2")) & allowed)
         .select(F.col("node").alias("a"), F.col("node_2").alias("b"))
         .distinct()
     )
 
 
 def linked_components(
-    shared: DataFrame, confirm: Callable[[DataFrame], DataFrame], percent: int, hub_rounds: int = 0
+    shared: DataFrame,
+    confirm: Callable[[DataFrame], DataFrame],
+    percent: int,
+    hub_rounds: int = 0,
+    marks: Marks | None = None,
 ) -> DataFrame:
     """``node`` and ``component`` of every node with a confirmed link to another one of its buckets.
 
@@ -87,7 +106,7 @@ def linked_components(
             .withColumn("component", F.coalesce("component", "node")),
             "bucket-members",
         )
-        pairs = _hub_pairs(members, salt, percent) if salt <= hub_rounds else _cross_pairs(members, percent)
+        pairs = _hub_pairs(members, salt, percent) if salt <= hub_rounds else _cross_pairs(members, percent, marks)
         more = stored(confirm(pairs), "links-found")
         if not more.isEmpty():
             known = found.select(F.col("component").alias("a"), F.col("node").alias("b"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import shutil
 import tempfile
 from pathlib import Path
@@ -24,8 +25,14 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to the shared scratch folder and read back, so that it is computed once."""
+    """``df`` written to the shared scratch folder and read back, so that it is computed once.
+
+    Spark removes the shuffle files of finished steps when the driver collects
+    its garbage, which a driver with memory to spare rarely does: it is asked to.
+    """
     path = scratch_path(df.sparkSession, label)
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

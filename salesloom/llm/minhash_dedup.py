@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesloom.llm.buckets import linked_components, shared_buckets
+from salesloom.llm.buckets import Marks, linked_components, shared_buckets
 from salesloom.llm.common import likely_among, map_arrow, stored
 
 MASK = (1 << 64) - 1
@@ -19,23 +19,20 @@ MASK = (1 << 64) - 1
 
 @dataclass(frozen=True)
 class Settings:
-    """``bands`` of ``rows`` minima: a pair at 0.75 shares one with probability 0.99999 (1 - (1 - 0.75^4)^32).
+    """``bands`` of ``rows`` minima: a pair at 0.75 shares one with probability 0.99999 (1 - (1 - 0.75^5)^48).
 
-    ``bits`` low bits of each minimum are kept.  A pair is checked on its full
-    sets if the similarity estimated from them is at least ``percent`` less
-    ``margin``, five standard errors.
+    ``bits`` low bits of each of ``minima`` minima are kept.  A pair is checked
+    on its full sets if the similarity estimated from them is at least
+    ``percent`` less ``margin``, more than three standard errors.
     """
 
     words: int = 5
     percent: int = 75
-    bands: int = 32
-    rows: int = 4
+    minima: int = 256
+    bands: int = 48
+    rows: int = 5
     bits: int = 4
-    margin: int = 20
-
-    @property
-    def minima(self) -> int:
-        return self.bands * self.rows
+    margin: int = 9
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -82,7 +79,7 @@ def _planes(minima: np.ndarray, bits: int) -> np.ndarray:
 def _fingerprints(settings: Settings):
     factors, addends = _constants(1, settings.minima), _constants(2, settings.minima)
     # A band's key is a hash of its minima and its number.
-    weights = _constants(3, settings.minima).reshape(settings.bands, settings.rows)
+    weights = _constants(3, settings.bands * settings.rows).reshape(settings.bands, settings.rows)
     salts = _constants(4, settings.bands)
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,7 +91,7 @@ def _fingerprints(settings: Settings):
                     rows.append((doc, 0, 0, 0, [], []))
                     continue
                 least = _minima(values, factors, addends)
-                bands = (_mixed(least.reshape(weights.shape)) * weights).sum(axis=1, dtype=np.uint64)
+                bands = (_mixed(least[: weights.size].reshape(weights.shape)) * weights).sum(axis=1, dtype=np.uint64)
                 key = np.array([_mixed(values).sum(), np.bitwise_xor.reduce(values)], np.uint64).view(np.int64)
                 rows.append(
                     (doc, len(values), int(key[0]), int(key[1]), _mixed(bands ^ salts).view(np.int64), _planes(least, settings.bits))
@@ -133,18 +130,16 @@ def _full_sets(words: int):
     return of_batches
 
 
-def _estimate(settings: Settings) -> Column:
+def _estimate(settings: Settings, left: str, right: str) -> Column:
     """Similarity from the share of equal low bits, less what chance alone makes equal."""
     longs = settings.minima // 64
 
     def differing(word: int) -> Column:
-        planes = [
-            F.get("planes_a", F.lit(bit * longs + word)).bitwiseXOR(F.get("planes_b", F.lit(bit * longs + word)))
-            for bit in range(settings.bits)
-        ]
-        total = planes[0]
-        for plane in planes[1:]:
-            total = total.bitwiseOR(plane)
+        total = None
+        for bit in range(settings.bits):
+            place = F.lit(bit * longs + word)
+            plane = F.get(f"planes{left}", place).bitwiseXOR(F.get(f"planes{right}", place))
+            total = plane if total is None else total.bitwiseOR(plane)
         return F.bit_count(total)
 
     unequal = differing(0)
@@ -154,6 +149,20 @@ def _estimate(settings: Settings) -> Column:
     return ((1 - unequal / settings.minima) - chance) / (1 - chance)
 
 
+def _likely(settings: Settings, left: str, right: str) -> Column:
+    return _estimate(settings, left, right) * 100 >= settings.percent - settings.margin
+
+
+def _short(key: Column) -> Column:
+    return key.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")
+
+
+def _first_meeting(left: str, right: str) -> Column:
+    """Whether this bucket is the first that the two share, so that a pair comes once."""
+    bands = F.zip_with(f"short_bands{left}", f"short_bands{right}", lambda a, b: a == b)
+    return F.get(F.col(f"short_bands{left}"), (F.array_position(bands, F.lit(True)) - 1).cast("int")) == _short(F.col("bucket"))
+
+
 def _confirm(marks: DataFrame, sets: DataFrame, settings: Settings):
     """Pairs that the packed signatures let through, then decided on the full sets."""
 
@@ -161,7 +170,7 @@ def _confirm(marks: DataFrame, sets: DataFrame, settings: Settings):
         likely = (
             pairs.join(marks.select(F.col("node").alias("a"), F.col("planes").alias("planes_a")), "a")
             .join(marks.select(F.col("node").alias("b"), F.col("planes").alias("planes_b")), "b")
-            .where(_estimate(settings) * 100 >= settings.percent - settings.margin)
+            .where(_likely(settings, "_a", "_b"))
             .select("a", "b")
         )
         both = likely.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a")), "a").join(
@@ -191,9 +200,9 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     whatever their length.  An empty table gives no rows; further columns are
     not read.
     """
-    marks = stored(fingerprints(docs, settings), "document-fingerprints")
+    prints = stored(fingerprints(docs, settings), "document-fingerprints")
     key = ["set_sum", "set_xor", "size"]
-    nodes = marks.where("node is not null and size > 0")
+    nodes = prints.where("node is not null and size > 0")
     # One document per distinct set; sums up before the shuffle.
     chosen = stored(nodes.groupBy(*key).agg(F.min("node").alias("node")), "document-sets")
     single = nodes.join(chosen, [*key, "node"], "left_semi")
@@ -206,14 +215,24 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         map_arrow(texts.join(wanted, "node", "left_semi"), _full_sets(settings.words), "node long, shingles array<long>"),
         "document-shingles",
     )
-    planes = stored(single.join(wanted, "node", "left_semi").select("node", "planes"), "document-planes")
-    found = linked_components(shared, _confirm(planes, sets, settings), settings.percent, hub_rounds=1)
+    planes = stored(
+        single.join(wanted, "node", "left_semi").select(
+            "node", "planes", F.transform("bands", _short).alias("short_bands")
+        ),
+        "document-planes",
+    )
+    marks = Marks(
+        planes,
+        lambda left, right: F.when(_likely(settings, left, right), _first_meeting(left, right)).otherwise(False),
+    )
+    confirm = _confirm(planes.select("node", "planes"), sets, settings)
+    found = linked_components(shared, confirm, settings.percent, hub_rounds=1, marks=marks)
     # A node may stand for several sets if rows share its id; the component is the node's.
     groups = chosen.join(found, "node", "left").select(
         *key, "node", F.coalesce("component", "node").alias("component")
     )
     labels = groups.select(*key, F.col("component").alias("component_id"))
-    labelled = marks.select(F.col("node").alias("doc_id"), *key).join(labels, key, "left")
+    labelled = prints.select(F.col("node").alias("doc_id"), *key).join(labels, key, "left")
     component = F.when(F.col("size") == 0, F.col("doc_id")).otherwise(
         F.when(F.col("doc_id").isNotNull(), F.col("component_id"))
     )
