@@ -17,16 +17,18 @@ CATEGORIES = ("toxic", "toxic_prose", "toxic_junk")
 @dataclass(frozen=True)
 class Settings:
     """``most_labels`` bounds the labelled rows of each class, drawn by hash; ``terms`` is the size of the vocabulary,
-    the words that tell the classes apart best and occur in ``least_documents`` of them; ``folds`` for the
-    probabilities a later model learns from; a document is toxic from ``threshold`` on."""
+    the words that tell the classes apart best, with a chi-square of ``least_chi`` and in ``least_documents`` of them; ``folds`` for the
+    probabilities a later model learns from; a document is toxic from a probability of
+    ``threshold`` of the first category on, the best on held-out labels."""
 
     most_labels: int = 5_000
     terms: int = 2_000
     least_documents: int = 3
+    least_chi: float = 15.0
     folds: int = 3
     penalty: float = 1e-3
     steps: int = 300
-    threshold: float = 0.5
+    threshold: float = 0.2
 
 
 def _terms(text: Column) -> Column:
@@ -72,8 +74,8 @@ def vocabulary(rows: DataFrame, settings: Settings) -> list[str]:
     )
     a, has = F.col("a"), F.col("with")
     chance = a * (n - bad) - (has - a) * bad
-    chi = chance * chance / (has * F.greatest(F.lit(n) - has, F.lit(1)))
-    top = found.where(has >= settings.least_documents).orderBy(F.round(chi, 6).desc(), "term").limit(settings.terms)
+    chi = chance * chance * n / (has * F.greatest(F.lit(n) - has, F.lit(1)) * max(bad * (n - bad), 1.0))
+    top = found.where((has >= settings.least_documents) & (chi >= settings.least_chi)).orderBy(F.round(chi, 6).desc(), "term").limit(settings.terms)
     return [row["term"] for row in top.collect()]
 
 
@@ -189,9 +191,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()
         for earlier, weight in zip(CATEGORIES, chain.dense[n][:-1]):
             z = z + F.col(f"p_{earlier}") * float(weight)
         scored = scored.withColumn(f"p_{category}", 1 / (1 + F.exp(-z)))
-    any_of = F.greatest(*[F.col(f"p_{category}") for category in CATEGORIES])
     return scored.select(
         F.col(ID).alias("doc_id"),
         *[f"p_{category}" for category in CATEGORIES],
-        (any_of > settings.threshold if empty else any_of >= settings.threshold).alias("toxic"),
+        ((F.col("p_toxic") >= settings.threshold) & F.lit(not empty)).alias("toxic"),
     )
