@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -51,11 +53,19 @@ def change(current: Column, previous: Column) -> Column:
     return current - F.coalesce(previous, F.lit(0).cast("decimal(18,2)"))
 
 
-def ladder(value: Column, *steps: tuple[float, str], otherwise: str) -> Column:
-    """Label of the first step whose bound ``value`` reaches; NULL falls to ``otherwise``."""
+def at_least(numerator: Column, denominator: Column, bound: tuple[int, int]) -> Column:
+    """Whether ``numerator / denominator`` reaches the fraction ``bound``, on exact decimals; NULL over zero."""
+    above, below = bound
+    n, d = numerator.cast("decimal(28,2)"), F.nullif(denominator.cast("decimal(28,2)"), F.lit(0).cast("decimal(28,2)"))
+    left, right = n * F.lit(Decimal(below)), d * F.lit(Decimal(above))
+    return F.when(d > 0, left >= right).otherwise(left <= right) & d.isNotNull()
+
+
+def ladder(numerator: Column, denominator: Column, *steps: tuple[tuple[int, int], str], otherwise: str) -> Column:
+    """Label of the first step whose bound the quotient reaches; NULL falls to ``otherwise``."""
     out = None
     for bound, label in steps:
-        reached = value >= F.lit(float(bound))
+        reached = at_least(numerator, denominator, bound)
         out = F.when(reached, label) if out is None else out.when(reached, label)
     return out.otherwise(otherwise)
 
@@ -63,10 +73,11 @@ def ladder(value: Column, *steps: tuple[float, str], otherwise: str) -> Column:
 def profit_category(profit: Column, net_sales: Column) -> Column:
     # Margin bounds and labels.
     return ladder(
-        quotient(profit, net_sales),
-        (0.2, "High Margin"),
-        (0.1, "Medium Margin"),
-        (0.0, "Low Margin"),
+        profit,
+        net_sales,
+        ((1, 5), "High Margin"),
+        ((1, 10), "Medium Margin"),
+        ((0, 1), "Low Margin"),
         otherwise="Loss Making",
     )
 
@@ -74,9 +85,10 @@ def profit_category(profit: Column, net_sales: Column) -> Column:
 def discount_effectiveness(profit: Column, discounts: Column) -> Column:
     # Return bounds and labels.
     earned = ladder(
-        quotient(profit, discounts),
-        (3.0, "Highly Effective"),
-        (1.0, "Effective"),
+        profit,
+        discounts,
+        ((3, 1), "Highly Effective"),
+        ((1, 1), "Effective"),
         otherwise="Ineffective",
     )
     return F.when(profit <= 0, "Loss Making").otherwise(earned)

@@ -106,22 +106,29 @@ def running_totals(
         return df.withColumn(name, F.sum(amount).over(window))
 
     slices = _sorted_slices(df, [*partition_by, *order_by])
-    offsets = _slice_offsets(slices, F.sum(amount))
+    # Missing amounts add nothing, and a total is missing until the first amount of its group.
+    known, present = F.coalesce(F.col(amount), F.lit(0)), F.when(F.col(amount).isNotNull(), 1).otherwise(0)
+    sums = _slice_offsets(slices, F.sum(known))
+    counts = _slice_offsets(slices, F.sum(present)).withColumnRenamed("_offset", "_counted")
     in_slice = Window.partitionBy("_slice").orderBy("_slot").rowsBetween(*so_far)
     summed = (
         slices.withColumn("_slice", F.shiftright("_slot", 33))
-        .withColumn("_running", F.sum(amount).over(in_slice))
-        .join(F.broadcast(offsets), "_slice")
-        .withColumn(name, F.col("_running") + F.col("_offset"))
-        .select(*df.columns, name)
+        .withColumns({"_running": F.sum(known).over(in_slice), "_seen": F.sum(present).over(in_slice)})
+        .join(F.broadcast(sums), "_slice")
+        .join(F.broadcast(counts), "_slice")
+        .withColumns({"_running": F.col("_running") + F.col("_offset"), "_seen": F.col("_seen") + F.col("_counted")})
+        .select(*df.columns, "_slot", "_running", "_seen")
     )
     if not partition_by:
-        return summed
+        return summed.select(*df.columns, F.when(F.col("_seen") > 0, F.col("_running")).alias(name))
+    # The group starts at its first place, whatever the signs of its amounts.
     first = summed.groupBy(*partition_by).agg(
-        F.min_by(F.col(name) - F.col(amount), F.col(name)).alias("_before")
+        F.min_by(F.col("_running") - known, "_slot").alias("_before"),
+        F.min_by(F.col("_seen") - present, "_slot").alias("_seen_before"),
     )
     return _join_groups(summed, first, partition_by).select(
-        *df.columns, (F.col(name) - F.col("_before")).alias(name)
+        *df.columns,
+        F.when(F.col("_seen") > F.col("_seen_before"), F.col("_running") - F.col("_before")).alias(name),
     )
 
 

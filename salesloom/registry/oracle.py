@@ -29,19 +29,22 @@ def hashed(*columns: str) -> str:
     return f"md5(concat_ws('-', {parts}))"
 
 
+def reaches(n: str, d: str, above: int, below: int) -> str:
+    """Whether n / d >= above / below, on exact decimals."""
+    return f"(({d} > 0 AND ({n}) * {below} >= ({d}) * {above}) OR ({d} < 0 AND ({n}) * {below} <= ({d}) * {above}))"
+
+
 def margin_class(profit: str, net: str) -> str:
-    q = quotient(profit, net)
     return (
-        f"CASE WHEN {q} >= 0.2::DOUBLE THEN 'High Margin' WHEN {q} >= 0.1::DOUBLE THEN 'Medium Margin' "
-        f"WHEN {q} >= 0 THEN 'Low Margin' ELSE 'Loss Making' END"
+        f"CASE WHEN {reaches(profit, net, 1, 5)} THEN 'High Margin' WHEN {reaches(profit, net, 1, 10)} "
+        f"THEN 'Medium Margin' WHEN {reaches(profit, net, 0, 1)} THEN 'Low Margin' ELSE 'Loss Making' END"
     )
 
 
 def effect_class(profit: str, discounts: str) -> str:
-    q = quotient(profit, discounts)
     return (
-        f"CASE WHEN {profit} <= 0 THEN 'Loss Making' WHEN {q} >= 3 THEN 'Highly Effective' "
-        f"WHEN {q} >= 1 THEN 'Effective' ELSE 'Ineffective' END"
+        f"CASE WHEN {profit} <= 0 THEN 'Loss Making' WHEN {reaches(profit, discounts, 3, 1)} THEN 'Highly Effective' "
+        f"WHEN {reaches(profit, discounts, 1, 1)} THEN 'Effective' ELSE 'Ineffective' END"
     )
 
 

@@ -94,3 +94,19 @@ def test_profit_category(spark, profit, net, expected):
 def test_discount_effectiveness(spark, profit, discounts, expected):
     df = spark.createDataFrame([(profit, discounts)], "p int, d int")
     assert df.select(ms.discount_effectiveness(F.col("p"), F.col("d"))).first()[0] == expected
+
+
+def test_classes_at_exact_bounds(spark):
+    from decimal import Decimal
+
+    from pyspark.sql import functions as F
+
+    from salesloom.functions.measures import discount_effectiveness, profit_category
+
+    rows = [("0.30", "1.50"), ("0.30", "3.00"), ("1.20", "0.40"), ("-0.30", "-1.50"), ("-1", "5"), ("1", "0"), ("0.29", "1.50"), ("1", "-5")]
+    df = spark.createDataFrame([(Decimal(a), Decimal(b)) for a, b in rows], "a decimal(18,2), b decimal(18,2)")
+    found = df.select(profit_category(F.col("a"), F.col("b")), discount_effectiveness(F.col("a"), F.col("b"))).collect()
+    assert [r[0] for r in found] == [
+        "High Margin", "Medium Margin", "High Margin", "High Margin", "Loss Making", "Loss Making", "Medium Margin", "Loss Making",
+    ]
+    assert found[2][1] == "Highly Effective"

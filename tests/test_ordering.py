@@ -95,3 +95,18 @@ def test_repeats(numbers):
     distinct = len({(r[1], r[2], r[3]) for r in data})
     assert surplus_rows(tripled, ["g", "v", "n"], "s").first()["s"] == 3000 - distinct
     assert surplus_rows(df, ["id"], "s").first()["s"] == 0
+
+
+def test_running_totals_with_negatives_zeros_and_nulls(spark):
+    from salesloom.operators.ordering import running_totals
+
+    rows = [("a", 1, 5), ("a", 2, -9), ("a", 3, 2), ("b", 1, None), ("b", 2, 0), ("b", 3, -4), ("c", 1, None)]
+    rows += [(None, 1, -1), (None, 2, 3)]
+    df = spark.createDataFrame(rows, "g string, n long, amount long")
+    for groups in (["g"], []):
+        order = ["n"] if groups else ["g", "n"]
+        results = [
+            sorted(map(tuple, running_totals(df, order, "amount", "total", groups, single_task_rows=limit).collect()), key=str)
+            for limit in (1_000_000, 0)
+        ]
+        assert results[0] == results[1]
