@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesloom.llm.common import ID, TEXT_HASH, same, stored, text_of
+from salesloom.llm.common import ID, TEXT_HASH, stored, text_of
 
 TERM = "([\\p{L}\\p{M}\\p{N}]+)"
 CATEGORIES = ("toxic", "toxic_prose", "toxic_junk")
@@ -21,7 +21,7 @@ class Settings:
     probabilities a later model learns from; a document is toxic from a probability of
     ``threshold`` of the first category on, the best on held-out labels."""
 
-    most_labels: int = 5_000
+    most_labels: int = 2_000
     terms: int = 2_000
     least_documents: int = 3
     least_chi: float = 15.0
@@ -168,30 +168,28 @@ def toxicity(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()
     empty = rows.isEmpty()
     chain = Chain([], [np.zeros(0)] * 3, [np.zeros(i + 1) for i in range(3)]) if empty else fit_chain(rows, settings)
     spark = docs.sparkSession
+    # The empty word is in every row once: its sum counts equal rows, which share a group.
     weights = spark.createDataFrame(
-        [(term, *[float(w[i]) for w in chain.words]) for i, term in enumerate(chain.terms)],
-        "term string, " + ", ".join(f"w_{c} double" for c in CATEGORIES),
+        [("", 1, *[0.0] * len(CATEGORIES))]
+        + [(term, 0, *[float(w[i]) for w in chain.words]) for i, term in enumerate(chain.terms)],
+        "term string, rows int, " + ", ".join(f"w_{c} double" for c in CATEGORIES),
     )
-    found = docs.select(
-        docs["doc_id"].alias(ID), F.xxhash64(docs["text"]).alias(TEXT_HASH), F.explode(_terms(text_of(docs))).alias("term")
-    )
-    sums = (
+    words = F.explode(F.array_append(_terms(text_of(docs)), F.lit("")))
+    found = docs.select(docs["doc_id"].alias(ID), F.xxhash64(docs["text"]).alias(TEXT_HASH), words.alias("term"))
+    # The vocabulary is bounded; sums are made before the shuffle, a row per document.
+    scored = (
         found.join(F.broadcast(weights), "term")
-        # Equal rows would count twice: a word is in a document or not.
-        .groupBy(ID, TEXT_HASH, "term")
-        .agg(*[F.first(f"w_{c}").alias(f"w_{c}") for c in CATEGORIES])
         .groupBy(ID, TEXT_HASH)
-        .agg(*[F.sum(f"w_{c}").alias(f"z_{c}") for c in CATEGORIES])
-        .withColumnsRenamed({ID: "s_id", TEXT_HASH: "s_hash"})
+        .agg(F.sum("rows").alias("rows"), *[F.sum(f"w_{c}").alias(f"z_{c}") for c in CATEGORIES])
+        .withColumns({f"z_{c}": F.col(f"z_{c}") / F.col("rows") for c in CATEGORIES})
     )
-    keys = docs.select(docs["doc_id"].alias(ID), F.xxhash64(docs["text"]).alias(TEXT_HASH))
-    scored = keys.join(sums, same(keys[ID], sums["s_id"]) & (keys[TEXT_HASH] == sums["s_hash"]), "left")
     for n, category in enumerate(CATEGORIES):
-        z = F.coalesce(F.col(f"z_{category}"), F.lit(0.0)) + float(chain.dense[n][-1])
+        z = F.col(f"z_{category}") + float(chain.dense[n][-1])
         for earlier, weight in zip(CATEGORIES, chain.dense[n][:-1]):
             z = z + F.col(f"p_{earlier}") * float(weight)
         scored = scored.withColumn(f"p_{category}", 1 / (1 + F.exp(-z)))
-    return scored.select(
+    every = scored.withColumn("row", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
+    return every.select(
         F.col(ID).alias("doc_id"),
         *[f"p_{category}" for category in CATEGORIES],
         ((F.col("p_toxic") >= settings.threshold) & F.lit(not empty)).alias("toxic"),
