@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesloom.llm import (
+    comparison,
     decontaminate,
     line_dedup,
     minhash_dedup,
@@ -48,7 +49,7 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(read_table(spark, folder, "documents"))
 
 
-@query("op3_suffix_array_dedup")
+@query("op3_suffix_array_dedup", comparison.SUBSTRINGS)
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     """Per document: its bytes, those that an earlier document has, their spans, the hash of the rest."""
     return substring_dedup.remove_repeats(read_table(spark, folder, "documents")).drop("kept")
@@ -74,7 +75,7 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, folder, "documents"))
 
 
-@query("op7_minhash_dedup")
+@query("op7_minhash_dedup", comparison.MINHASH)
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     """Per document: size of its shingle set, its group, whether it stays."""
     return minhash_dedup.near_duplicates(read_table(spark, folder, "documents"))
@@ -98,7 +99,7 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
 
 
-@query("op10_quality_rules")
+@query("op10_quality_rules", comparison.QUALITY_RULES)
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     """Counts, base failure and verdict of every document."""
     found = quality_rules.judged(read_table(spark, folder, "documents"))
