@@ -310,6 +310,35 @@ def test_line_dedup(spark):
     assert texts[2] == "\nother" and 4 not in texts and texts[5] is None and texts[7] == " \n\t"
 
 
+def line_shingles(line):
+    coded = line.encode()
+    return {coded[i : i + 12] for i in range(max(1, len(coded) - 11))}
+
+
+def test_line_dedup_links_all_pairs_brute_force_does(spark):
+    r = random.Random(7)
+    pairs = []
+    for size in [14, 15, 16, 17, 19, 20, 23, 27, 35, 60, 120, 400, 1500] * 60:
+        line = "".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=size))
+        shared = len(line_shingles(line))
+        grown = line + "".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=shared // 3))
+        ahead = grown[len(line) :] + line
+        pairs += [(line, grown), (line, ahead)]
+    for n in range(20):
+        unit = "".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=20 + n))
+        pairs += [(unit * 4, (unit * 40)[n : 25 * len(unit)]), (unit[:1] * (60 + n) + "#", unit[:1] * (200 + n) + "#")]
+    wanted = set()
+    for n, (a, b) in enumerate(pairs):
+        x, y = line_shingles(a), line_shingles(b)
+        if a != b and 100 * len(x & y) >= 75 * len(x | y):
+            wanted.add(n)
+    rows = [(2 * n + side, pair[side]) for n, pair in enumerate(pairs) for side in (0, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    removed = {r[ID] for r in line_dedup.repeated_lines(docs).collect() if r.removed}
+    lost = [pairs[n] for n in wanted if 2 * n + 1 not in removed]
+    assert len(wanted) > 1000 and len(lost) <= len(wanted) // 500
+
+
 def test_toxicity(spark):
     rows = [(i, prose(40, i) + (" idiot scum" if i % 4 == 0 else "")) for i in range(400)]
     docs = spark.createDataFrame([*rows, (None, None), (900, prose(50, 901) + " Scum!")], "doc_id long, text string")
