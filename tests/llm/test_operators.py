@@ -128,6 +128,37 @@ def test_masks_hit_all_windows_with_two_substitutions():
         )
 
 
+def test_masks_hit_all_allowed_substitutions_of_short_items():
+    from itertools import combinations
+
+    settings = decontaminate.Settings()
+    for size in range(1, 14):
+        allowed = size - -(-size * settings.percent // 100) if size >= settings.least else 0
+        for gone in combinations(range(size), allowed):
+            assert any(
+                start + mask[-1] < size and not {start + step for step in mask} & set(gone)
+                for mask in settings.masks_of(size)
+                for start in range(size)
+            )
+
+
+def test_decontamination_finds_short_items(spark):
+    items, rows = [], []
+    for size in range(1, 13):
+        words = [f"w{size}x{n}" for n in range(size)]
+        items.append((size, " ".join(words)))
+        rows.append((100 * size, " ".join(["before", *words, "after"])))
+        for n in range(size):
+            rows.append((100 * size + n + 1, " ".join(["before", *words[:n], "other", *words[n + 1 :], "after"])))
+    items.append((50, "今日はとても良い天気"))
+    rows.append((5000, "x。まあ今日はとても良い天気ですね"))
+    found = decontaminate.contamination(
+        spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    ).collect()
+    wanted = {i for i, _ in rows if i == 5000 or i % 100 == 0 or i // 100 >= 8}
+    assert {r[ID] for r in found if r.contaminated} == wanted
+
+
 def test_token_counts(docs):
     from tokenizers import Tokenizer, models, pre_tokenizers
 
