@@ -23,7 +23,8 @@ class Settings:
 
     ``bits`` low bits of each of ``minima`` minima are kept.  A pair is checked
     on its full sets if the similarity estimated from them is at least
-    ``percent`` less ``margin``, more than three standard errors.
+    ``percent`` less ``margin``, five standard errors, or if one of the sets has
+    fewer than ``small`` shingles, for which the estimate is not good.
     """
 
     words: int = 5
@@ -32,7 +33,8 @@ class Settings:
     bands: int = 48
     rows: int = 5
     bits: int = 4
-    margin: int = 9
+    margin: int = 15
+    small: int = 64
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -150,7 +152,8 @@ def _estimate(settings: Settings, left: str, right: str) -> Column:
 
 
 def _likely(settings: Settings, left: str, right: str) -> Column:
-    return _estimate(settings, left, right) * 100 >= settings.percent - settings.margin
+    likely = _estimate(settings, left, right) * 100 >= settings.percent - settings.margin
+    return F.col(f"small{left}") | F.col(f"small{right}") | likely
 
 
 def _short(key: Column) -> Column:
@@ -168,8 +171,8 @@ def _confirm(marks: DataFrame, sets: DataFrame, settings: Settings):
 
     def confirm(pairs: DataFrame) -> DataFrame:
         likely = (
-            pairs.join(marks.select(F.col("node").alias("a"), F.col("planes").alias("planes_a")), "a")
-            .join(marks.select(F.col("node").alias("b"), F.col("planes").alias("planes_b")), "b")
+            pairs.join(marks.select(F.col("node").alias("a"), F.col("planes").alias("planes_a"), F.col("small").alias("small_a")), "a")
+            .join(marks.select(F.col("node").alias("b"), F.col("planes").alias("planes_b"), F.col("small").alias("small_b")), "b")
             .where(_likely(settings, "_a", "_b"))
             .select("a", "b")
         )
@@ -217,7 +220,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     )
     planes = stored(
         single.join(wanted, "node", "left_semi").select(
-            "node", "planes", F.transform("bands", _short).alias("short_bands")
+            "node", "planes", F.transform("bands", _short).alias("short_bands"), (F.col("size") < settings.small).alias("small")
         ),
         "document-planes",
     )
@@ -225,7 +228,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         planes,
         lambda left, right: F.when(_likely(settings, left, right), _first_meeting(left, right)).otherwise(False),
     )
-    confirm = _confirm(planes.select("node", "planes"), sets, settings)
+    confirm = _confirm(planes.select("node", "planes", "small"), sets, settings)
     found = linked_components(shared, confirm, settings.percent, hub_rounds=1, marks=marks)
     # A node may stand for several sets if rows share its id; the component is the node's.
     groups = chosen.join(found, "node", "left").select(

@@ -341,6 +341,16 @@ def test_line_dedup(spark):
     assert texts[2] == "\nother" and 4 not in texts and texts[5] is None and texts[7] == " \n\t"
 
 
+def test_minhash_dedup_loses_no_pair_at_the_threshold(spark):
+    rows = []
+    for pair in range(3000):
+        shared = (3, 6, 30)[pair % 3]
+        words = [f"p{pair}w{n}" for n in range(shared + 4 + shared // 3)]
+        rows += [(2 * pair, " ".join(words[: shared + 4])), (2 * pair + 1, " ".join(words))]
+    found = minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r.component_id == r.doc_id // 2 * 2 for r in found)
+
+
 def line_shingles(line):
     coded = line.encode()
     return {coded[i : i + 12] for i in range(max(1, len(coded) - 11))}
