@@ -11,10 +11,13 @@ from salesloom.llm import (
     comparison,
     decontaminate,
     line_dedup,
+    merkle_manifest,
     minhash_dedup,
     packing,
+    periodic_runs,
     quality_classifier,
     quality_rules,
+    simhash_dedup,
     substring_dedup,
     token_counts,
     token_output,
@@ -110,3 +113,23 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
         "kept",
         "host_failed",
     )
+
+
+@query("op11_merkle_manifest", comparison.MERKLE)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document: its leaf, the roots above it, its proof, and whether the document with changed case passes it."""
+    docs = read_table(spark, folder, "documents")
+    return merkle_manifest.verified(docs, merkle_manifest.tampered_leaf(docs))
+
+
+@query("op12_periodic_runs")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document, of which one in ten is made to repeat itself: its periodic runs and what is left without them."""
+    docs = periodic_runs.with_planted_runs(read_table(spark, folder, "documents"))
+    return periodic_runs.periodic_runs(docs).drop("runs")
+
+
+@query("op13_simhash_dedup")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document: its fingerprint and its group of near duplicates."""
+    return simhash_dedup.near_duplicates(read_table(spark, folder, "documents"))
