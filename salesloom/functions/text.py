@@ -17,7 +17,11 @@ def parse_amount(text: Column, data_type: str = "decimal(18,2)") -> Column:
     return F.trim(bare).try_cast(data_type)
 
 
-def parse_day(text: Column, formats: Sequence[str] = ("yyyy-MM-dd", "M/d/yyyy")) -> Column:
+# How days are written in the files.
+DAY_FORMATS = ("yyyy-MM-dd", "M/d/yyyy", "yyyy-MM-dd HH:mm:ss", "yyyy/MM/dd", "dd-MMM-yyyy")
+
+
+def parse_day(text: Column, formats: Sequence[str] = DAY_FORMATS) -> Column:
     """Date in ``text`` by the first format that fits; NULL where none does."""
     bare = F.trim(text)
     return F.coalesce(*[F.try_to_timestamp(bare, F.lit(f)).cast("date") for f in formats])

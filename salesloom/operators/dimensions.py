@@ -88,12 +88,13 @@ def keyed_members(
     order_by = [F.col(c).asc_nulls_last() for c in order_by or natural_key]
     if existing is None:
         return row_numbers(members, order_by, key, single_task_rows=single_task_rows)
-    old = existing.select(*natural_key, key)
+    # Renamed, as the members may come from the same table.
+    old = existing.select(*[F.col(c).alias(f"_old_{c}") for c in natural_key], F.col(key).alias(f"_old_{key}"))
     match = F.lit(True)
     for c in natural_key:
-        match = match & members[c].eqNullSafe(old[c])
-    matched = members.join(old, match, "left").select(members["*"], old[key])
-    matched = checkpointed(matched)
+        match = match & F.col(c).eqNullSafe(F.col(f"_old_{c}"))
+    matched = members.join(old, match, "left").withColumn(key, F.col(f"_old_{key}"))
+    matched = checkpointed(matched.select(*members.columns, key))
     known = matched.where(F.col(key).isNotNull())
     new = row_numbers(
         matched.where(F.col(key).isNull()).drop(key), order_by, "_n", single_task_rows=single_task_rows

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from salesloom.functions.text import hashed_key
 from salesloom.operators.counting import split_by_repeats
+from salesloom.operators.history import as_of
 from salesloom.operators.ordering import bounded_broadcast
 from salesloom.schemas import FACT, conform
 
@@ -35,19 +36,34 @@ def identified(staged: DataFrame) -> DataFrame:
     return staged.withColumn("transaction_id", hashed_key(NATURAL_KEY))
 
 
-def sales_fact(staged: DataFrame, dims: dict[str, DataFrame], rows: dict[str, int] | None = None) -> DataFrame:
+def sales_fact(
+    staged: DataFrame,
+    dims: dict[str, DataFrame],
+    rows: dict[str, int] | None = None,
+    product_join: str = "current",
+) -> DataFrame:
     """One fact row per staged line.
 
     ``dims`` holds ``dim_date``, ``dim_product``, ``dim_segment``,
     ``dim_geography`` and ``dim_discount``; ``rows`` their sizes if known.
     Lines that miss a dimension stay in, flagged by ``has_missing_keys``.
+    ``product_join`` says which version of a product a line points at: the
+    ``current`` one, or ``as_of`` its day, the newest that had begun by then.
     """
+    if product_join not in ("current", "as_of"):
+        raise ValueError(f"unknown product join {product_join!r}")
     rows = rows or {}
-    current = dims["dim_product"].where(F.col("is_current"))
     lines = staged if "transaction_id" in staged.columns else identified(staged)
+    products = dims["dim_product"]
+    if product_join == "as_of":
+        price = F.col("manufacturing_price")
+        tie = [price.isNull(), price]
+        lines = as_of(lines, products, "product_name", "transaction_date", "effective_date", ["product_key"], tie)
+    else:
+        current = products.where(F.col("is_current"))
+        lines = lookup(lines, current, {"product_name": "product_name"}, "product_key", rows.get("dim_product"))
     for name, dim, on, key in (
         ("dim_date", dims["dim_date"], {"transaction_date": "date_day"}, "date_key"),
-        ("dim_product", current, {"product_name": "product_name"}, "product_key"),
         ("dim_segment", dims["dim_segment"], {"segment_name": "segment_name"}, "segment_key"),
         ("dim_geography", dims["dim_geography"], {"country_name": "country_name"}, "geography_key"),
         ("dim_discount", dims["dim_discount"], {"discount_band": "discount_band"}, "discount_key"),
@@ -96,19 +112,23 @@ def deduplicate(fact: DataFrame, policy: str = "error", loaded: str = "load_date
     )
 
 
-def repeated_ids(fact: DataFrame) -> DataFrame:
+def repeated_ids(fact: DataFrame, large: bool = True) -> DataFrame:
     """Surplus rows: ids carried by more than one row, and rows without an id, with their keys.
 
     With it, ``count(distinct transaction_id)`` becomes additive: rows less
     ``surplus``.  ``mixed`` marks an id whose copies differ in a key, for which
-    that shortcut would not hold.
+    that shortcut would not hold.  ``large`` looks for repeated hashes first,
+    so that ids that occur once are not shuffled.
     """
     flags = [*KEYS, "has_missing_keys"]
     rows = fact.select("transaction_id", *flags)
     named = rows.where(F.col("transaction_id").isNotNull())
-    parts = split_by_repeats(named, ["transaction_id"])
+    shared = named
+    if large:
+        parts = split_by_repeats(named, ["transaction_id"])
+        shared = named.limit(0) if parts is None else parts[0]
     copies = (
-        (named.limit(0) if parts is None else parts[0])
+        shared
         .groupBy("transaction_id")
         .agg(
             F.count("*").alias("n"), F.min(F.struct(*flags)).alias("low"), F.max(F.struct(*flags)).alias("high")

@@ -33,7 +33,7 @@ def _join_groups(df: DataFrame, grouped: DataFrame, keys: Sequence[str]) -> Data
     return df.join(renamed, same).drop(*[f"_of_{k}" for k in keys])
 
 
-def _sorted_slices(df: DataFrame, sort: list) -> DataFrame:
+def sorted_slices(df: DataFrame, sort: list) -> DataFrame:
     """Globally sorted rows with ``_slot``: slice number in the high bits, position in the low 33."""
     ranged = df.repartitionByRange(*sort).sortWithinPartitions(*sort)
     # The slices are read twice below, so they must be the same both times.
@@ -69,7 +69,7 @@ def row_numbers(
         window = Window.partitionBy(*partition_by).orderBy(*order_by)
         return df.withColumn(name, F.row_number().over(window).cast("bigint"))
 
-    slices = _sorted_slices(df, [*[F.col(c) for c in partition_by], *order_by])
+    slices = sorted_slices(df, [*[F.col(c) for c in partition_by], *order_by])
     offsets = _slice_offsets(slices, F.count("*"))
     position = F.col("_slot").bitwiseAND(F.lit((1 << 33) - 1))
     # One row per slice: the broadcast is bounded by the number of shuffle partitions.
@@ -105,7 +105,7 @@ def running_totals(
         window = Window.partitionBy(*partition_by).orderBy(*order_by).rowsBetween(*so_far)
         return df.withColumn(name, F.sum(amount).over(window))
 
-    slices = _sorted_slices(df, [*partition_by, *order_by])
+    slices = sorted_slices(df, [*partition_by, *order_by])
     # Missing amounts add nothing, and a total is missing until the first amount of its group.
     known, present = F.coalesce(F.col(amount), F.lit(0)), F.when(F.col(amount).isNotNull(), 1).otherwise(0)
     sums = _slice_offsets(slices, F.sum(known))

@@ -7,14 +7,17 @@ status)``, so that any number of them is one frame with one verdict.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesloom.operators.counting import counts_by_value, repeated_values, surplus_rows
+from salesloom.operators.counting import counts_by_value, repeated_values
 from salesloom.operators.facts import KEYS
+from salesloom.operators.rules import PLAUSIBLE, tallies, violations
 from salesloom.plans.warehouse import Star
+from salesloom.session import checkpointed
 
 FACT_NAME = "fact_financial_transactions"
 
@@ -137,34 +140,95 @@ def non_empty(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [probe(n, t) for n, t in tables.items()])
 
 
-ROW_RULES = {
-    "null_transaction_ids": lambda: F.col("transaction_id").isNull(),
-    "negative_sales": lambda: F.col("net_sales") < 0,
-    "units_sold_zero_with_sales": lambda: (F.col("units_sold") == 0) & (F.col("net_sales") > 0),
-    "profit_margin_validation": lambda: F.col("profit") > F.col("net_sales"),
-    "missing_date_keys": lambda: F.col("date_key").isNull(),
+def row_rules(fact: DataFrame) -> DataFrame:
+    """Counts of rows that break a plausibility rule, in one pass; they warn, never fail."""
+    counts = violations(fact, PLAUSIBLE).select(F.col("rule").alias("column_name"), "violations")
+    return check_rows(counts, "row_rule", FACT_NAME, "warn")
+
+
+@dataclass(frozen=True)
+class FactCounts:
+    """All that the checks and the dashboard need of the fact, from two scans of it.
+
+    ``tallies`` is one row of counts and totals, ``keys`` the orphans per key,
+    ``repeats`` one row: repeated ids and rows in excess of distinct ids.
+    """
+
+    tallies: DataFrame
+    keys: DataFrame
+    repeats: DataFrame
+
+
+# check of reconciliation -> total of the fact, report, its column
+RECONCILED = {
+    "monthly_sales": ("net_sales", "monthly_sales_analysis", "net_sales"),
+    "product_profit": ("profit", "product_profitability", "total_profit"),
+    "segment_sales": ("net_sales", "segment_performance", "net_sales"),
 }
 
 
-def row_rules(fact: DataFrame) -> DataFrame:
-    """Counts of rows that break a plausibility rule, in one pass; they warn, never fail."""
-    counts = fact.agg(*[_tally(rule()).alias(name) for name, rule in ROW_RULES.items()])
-    return check_rows(
-        counts.unpivot([], list(ROW_RULES), "column_name", "violations"), "row_rule", FACT_NAME, "warn"
+def _fact_totals() -> list[Column]:
+    return [F.sum(total).cast("decimal(38,2)").alias(name) for name, (total, _, _) in RECONCILED.items()]
+
+
+def _fact_tallies() -> list[Column]:
+    def tally(name: str, condition: Column) -> Column:
+        return F.count_if(condition).alias(name)
+
+    return [
+        F.count(F.lit(1)).alias("row_count"),
+        tally("null_key_count", F.col("transaction_id").isNull()),
+        tally("records_with_missing_keys", F.col("has_missing_keys")),
+        tally("negative_sales_count", F.col("net_sales") < 0),
+        tally("negative_profit_count", F.col("profit") < 0),
+        tally("inconsistent_units_count", (F.col("units_sold") <= 0) & (F.col("net_sales") > 0)),
+        *[tally(f"null_{c}", F.col(c).isNull()) for c in NOT_NULL[FACT_NAME]],
+        *tallies(PLAUSIBLE),
+        *_fact_totals(),
+    ]
+
+
+def _repeats(star: Star) -> DataFrame:
+    """One row: ``repeated_ids`` and ``surplus`` rows, from the stored surplus rows if the star has them."""
+    if star.repeats is not None:
+        per_id = star.repeats.groupBy("transaction_id").agg(F.sum("surplus").alias("n")).where("n > 0")
+        named = F.col("transaction_id").isNotNull()
+        return per_id.agg(
+            F.count_if(named).alias("repeated_ids"), F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("surplus")
+        )
+    named = star.fact.where(F.col("transaction_id").isNotNull())
+    copies = repeated_values(named, ["transaction_id"]).agg(
+        F.count("*").alias("repeated_ids"), F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("surplus")
+    )
+    without = star.fact.where(F.col("transaction_id").isNull()).agg(F.count("*").alias("surplus"))
+    both = copies.unionByName(without, allowMissingColumns=True)
+    return both.agg(F.max("repeated_ids").alias("repeated_ids"), F.sum("surplus").cast("bigint").alias("surplus"))
+
+
+def count_fact(star: Star) -> FactCounts:
+    """Scan the fact once for all tallies and totals and once by key."""
+    return FactCounts(
+        checkpointed(star.fact.agg(*_fact_tallies())),
+        checkpointed(orphan_counts(star.fact, star.dims)),
+        checkpointed(_repeats(star)),
+    )
+
+
+def _listed(counts: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Some counts of a one-row frame as ``(column_name, violations)``."""
+    return counts.select(*[F.col(old).alias(new) for new, old in columns.items()]).unpivot(
+        [], list(columns), "column_name", "violations"
     )
 
 
 def reconciliation(fact: DataFrame, reports: dict[str, DataFrame]) -> DataFrame:
     """Totals of three reports against the whole fact: ``(name, fact_total, report_total, difference)``."""
-    pairs = (
-        ("monthly_sales", "net_sales", "monthly_sales_analysis", "net_sales"),
-        ("product_profit", "profit", "product_profitability", "total_profit"),
-        ("segment_sales", "net_sales", "segment_performance", "net_sales"),
-    )
-    # One scan of the fact for all its totals, turned into one row per check.
-    wanted = [F.sum(total).cast("decimal(38,2)").alias(name) for name, total, _, _ in pairs]
-    rows = fact.agg(*wanted).unpivot([], [name for name, *_ in pairs], "name", "fact_total")
-    for name, _, report, column in pairs:
+    return _against_reports(fact.agg(*_fact_totals()), reports)
+
+
+def _against_reports(totals: DataFrame, reports: dict[str, DataFrame]) -> DataFrame:
+    rows = totals.select(*RECONCILED).unpivot([], list(RECONCILED), "name", "fact_total")
+    for name, (_, report, column) in RECONCILED.items():
         total = F.sum(column).cast("decimal(38,2)").alias("report_total")
         one = reports[report].agg(F.lit(name).alias("name"), total)
         rows = rows.unionByName(one, allowMissingColumns=True)
@@ -176,8 +240,12 @@ def reconciliation(fact: DataFrame, reports: dict[str, DataFrame]) -> DataFrame:
 
 def reconciled(fact: DataFrame, reports: dict[str, DataFrame], tolerance: int = 1) -> DataFrame:
     """Check rows: a difference above the tolerance is a violation."""
+    return _differences(reconciliation(fact, reports), tolerance)
+
+
+def _differences(sides: DataFrame, tolerance: int = 1) -> DataFrame:
     off = F.coalesce(F.col("difference") > tolerance, F.lit(True))
-    counts = reconciliation(fact, reports).select(
+    counts = sides.select(
         F.concat("name", F.lit("_totals_match_fact")).alias("column_name"),
         off.cast("bigint").alias("violations"),
     )
@@ -194,18 +262,20 @@ def declared_tests(star: Star) -> DataFrame:
 
 
 def run_checks(star: Star, reports: dict[str, DataFrame]) -> DataFrame:
-    """Every check over the warehouse as one frame."""
-    tables = {**star.dims, FACT_NAME: star.fact, **reports}
-    return reduce(
-        DataFrame.unionByName,
-        [
-            declared_tests(star),
-            non_empty(tables),
-            orphans(star.fact, star.dims),
-            row_rules(star.fact),
-            reconciled(star.fact, reports),
-        ],
-    )
+    """Every check over the warehouse as one frame; the fact is scanned twice."""
+    counts = count_fact(star)
+    parts = [not_null(star.dims[t], t, c) for t, c in NOT_NULL.items() if t != FACT_NAME]
+    parts += [unique(star.dims[t], t, c) for t, c in UNIQUE.items() if t != FACT_NAME]
+    nulls = _listed(counts.tallies, {c: f"null_{c}" for c in NOT_NULL[FACT_NAME]})
+    parts.append(check_rows(nulls, "not_null", FACT_NAME))
+    parts.append(check_rows(_listed(counts.repeats, {"transaction_id": "repeated_ids"}), "unique", FACT_NAME))
+    for check, column in (("relationships", "dangling"), ("referential_integrity", "orphans")):
+        parts.append(check_rows(counts.keys.select("column_name", F.col(column).alias("violations")), check, FACT_NAME))
+    parts.append(non_empty({**star.dims, FACT_NAME: star.fact, **reports}))
+    broken = _listed(counts.tallies, {rule.name: rule.name for rule in PLAUSIBLE})
+    parts.append(check_rows(broken, "row_rule", FACT_NAME, "warn"))
+    parts.append(_differences(_against_reports(counts.tallies, reports)))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def verdict(checks: DataFrame) -> DataFrame:
@@ -273,35 +343,30 @@ def dimension_counts(dims: dict[str, DataFrame], strict: bool = False) -> DataFr
     return reduce(DataFrame.unionByName, [one(k, d) for k, d in RELATIONSHIPS.items()])
 
 
+METRICS = (
+    "row_count", "null_key_count", "records_with_missing_keys", "negative_sales_count", "negative_profit_count",
+    "inconsistent_units_count", "duplicate_key_count",
+)
+
+
+def _metric_row(tallied: DataFrame, repeats: DataFrame) -> DataFrame:
+    # Two one-row frames folded into one.
+    copies = repeats.select(F.col("surplus").alias("duplicate_key_count"))
+    both = tallied.unionByName(copies, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in METRICS])
+
+
 def fact_metrics(fact: DataFrame) -> DataFrame:
     """One row of counts over the fact.
 
     ``duplicate_key_count`` is rows less distinct ids: surplus copies and rows without an id.
     """
-
-    def tally(condition: Column) -> Column:
-        return F.sum(F.when(condition, 1).otherwise(0)).cast("bigint")
-
-    counts = fact.agg(
-        F.count("*").alias("row_count"),
-        tally(F.col("transaction_id").isNull()).alias("null_key_count"),
-        tally(F.col("has_missing_keys")).alias("records_with_missing_keys"),
-        tally(F.col("net_sales") < 0).alias("negative_sales_count"),
-        tally(F.col("profit") < 0).alias("negative_profit_count"),
-        tally((F.col("units_sold") <= 0) & (F.col("net_sales") > 0)).alias("inconsistent_units_count"),
-    )
-    named = fact.where(F.col("transaction_id").isNotNull())
-    copies = surplus_rows(named, ["transaction_id"], "_surplus")
-    # Two one-row frames folded into one.
-    both = counts.unionByName(copies, allowMissingColumns=True)
-    folded = both.agg(*[F.max(c).alias(c) for c in both.columns])
-    without_id = F.coalesce("null_key_count", F.lit(0))
-    return folded.withColumn("duplicate_key_count", F.col("_surplus") + without_id).drop("_surplus")
+    return _metric_row(fact.agg(*_fact_tallies()), _repeats(Star(fact, {})))
 
 
 def data_quality_dashboard(star: Star, reports: dict[str, DataFrame], strict: bool = False) -> DataFrame:
-    """Thirty quality metrics with status and icon, each table read in one pass."""
-    c, metrics = F.col, []
+    """Thirty quality metrics with status and icon; the fact is read twice, once by key."""
+    c, metrics, counts = F.col, [], count_fact(star)
 
     area = "Dimension Tables"
     table = c("dimension_table")
@@ -337,18 +402,18 @@ def data_quality_dashboard(star: Star, reports: dict[str, DataFrame], strict: bo
         _metric(area, F.lit(f"{FACT_NAME} - {label}"), c(column), "Count", status)
         for label, (column, status) in statuses.items()
     ]
-    metrics.append(fact_metrics(star.fact).select(F.explode(F.array(*rows)).alias("m")))
+    metrics.append(_metric_row(counts.tallies, counts.repeats).select(F.explode(F.array(*rows)).alias("m")))
 
     relation = F.replace(c("column_name"), F.lit("_key"), F.lit("_dimension"))
     metrics.append(
-        orphan_counts(star.fact, star.dims).select(
+        counts.keys.select(
             _metric("Referential Integrity", relation, c("orphans"), "Orphaned Records",
                     _zero_status(c("orphans"), "Error")).alias("m")
         )
     )
     agrees = F.when(c("difference") < 1, "Consistent").otherwise("Inconsistent")
     metrics.append(
-        reconciliation(star.fact, reports).select(
+        _against_reports(counts.tallies, reports).select(
             _metric("Analytical Consistency", F.concat("name", F.lit("_vs_fact")), c("difference"),
                     "Difference", agrees).alias("m")
         )

@@ -59,6 +59,23 @@ def unreadable_counts(raw: DataFrame) -> DataFrame:
     return counts.unpivot([], list(RAW_NUMBER_COLUMNS), "column_name", "unreadable")
 
 
+def lost_digits(raw: DataFrame) -> DataFrame:
+    """Amounts per column that the staged type cannot hold as they are: ``(column_name, rounded, too_large)``.
+
+    ``rounded`` ones have more than two decimals and are staged to the cent;
+    ``too_large`` ones are staged as NULL.  One pass.
+    """
+    counts = []
+    for name in RAW_NUMBER_COLUMNS:
+        text = F.col(f"`{name}`")
+        staged, exact = parse_amount(text), parse_amount(text, "decimal(38,10)")
+        wide = parse_amount(text, "double")
+        rounded = F.count_if(staged.isNotNull() & exact.isNotNull() & (exact != staged))
+        lost = F.count_if(staged.isNull() & wide.isNotNull() & ~F.isnan(wide))
+        counts.append(F.struct(F.lit(name).alias("column_name"), rounded.alias("rounded"), lost.alias("too_large")))
+    return raw.agg(F.array(*counts).alias("c")).select(F.inline("c"))
+
+
 def rename_raw(raw: DataFrame) -> DataFrame:
     """The 16 input columns under their staging names, plus any landing columns."""
     extra = [c for c in raw.columns if c not in RENAMES]

@@ -22,9 +22,9 @@ from salesloom.operators.ordering import (
     row_numbers,
     with_group_totals,
 )
-from salesloom.plans.rollup import DIM_KEYS, fact_lines, rollup, task_sums, whole_sums
+from salesloom.plans.cubes import with_cubes
+from salesloom.plans.rollup import rollup
 from salesloom.plans.warehouse import Star
-from salesloom.session import checkpointed
 
 SUMS = tuple(TOTALS)
 
@@ -209,30 +209,9 @@ def _leaderboard_totals(star: Star) -> dict[str, DataFrame]:
         "country": ("dim_geography", ["country_name", "region"]),
         "band": ("dim_discount", ["discount_band"]),
     }
-    if star.repeats is None:
-        return {name: rollup(star, [dim], by, BOARD_SUMS, None) for name, (dim, by) in boards.items()}
-
-    # One scan: each row counts once under every one of its keys, and the names join the sums.
-    keys = [DIM_KEYS[dim] for dim, _ in boards.values()]
-    tasked, sums = task_sums(star, fact_lines(star), BOARD_SUMS)
-    measures = [TOTALS[t] for t in BOARD_SUMS]
-    by_key = tasked.unpivot(
-        ["_task", *measures], [F.col(k).cast("bigint").alias(k) for k in keys], "_board", "_key"
-    )
-    per_key = (
-        by_key.groupBy("_board", "_key", "_task")
-        .agg(*sums)
-        .groupBy("_board", "_key")
-        .agg(*whole_sums(BOARD_SUMS))
-    )
-    # Five branches read the sums; without a stored copy each would scan the fact again.
-    per_key = checkpointed(per_key)
-    out = {}
-    for key, (name, (dim, by)) in zip(keys, boards.items()):
-        mine = per_key.where(F.col("_board") == key).withColumnRenamed("_key", key)
-        named = mine.join(star.dims[dim].select(key, *by), key)
-        out[name] = named.groupBy(*by).agg(*whole_sums(BOARD_SUMS))
-    return out
+    # All boards read two small sets of totals; without stored ones these are made in one scan each.
+    totals = star if star.cubes or star.repeats is None else with_cubes(star)
+    return {name: rollup(totals, [dim], by, BOARD_SUMS, None) for name, (dim, by) in boards.items()}
 
 
 def executive_dashboard(star: Star, top: int = 5) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from salesloom.functions.measures import TOTALS
 from salesloom.operators.facts import YEAR_COLUMN
 from salesloom.operators.ordering import bounded_broadcast
+from salesloom.plans.cubes import covering, cube_rollup
 from salesloom.plans.warehouse import Star
 
 DIM_KEYS = {
@@ -22,6 +23,8 @@ DIM_KEYS = {
 }
 # Up to this many groups per task, days are grouped as they are and meet the calendar later.
 DAY_GROUPS = 200_000
+# Small measures are below 10**6; that many of them stay below 10**16.
+MOST_LINES = 10**10
 
 
 def fact_lines(star: Star, clean: bool = True) -> DataFrame:
@@ -29,20 +32,28 @@ def fact_lines(star: Star, clean: bool = True) -> DataFrame:
     return star.fact.where(~F.col("has_missing_keys")) if clean else star.fact
 
 
-def task_sums(star: Star, lines: DataFrame, totals: Sequence[str]) -> tuple[DataFrame, list[Column]]:
-    """``lines`` with their task number, and the sums to take per group and task.
+def sums_fit(star: Star) -> bool:
+    """Whether no sum of small measures over the whole fact can leave decimal(18,2)."""
+    return star.lines() < MOST_LINES
+
+
+def task_sums(star: Star, lines: DataFrame, totals: Sequence[str]) -> tuple[DataFrame, list[str], list[Column]]:
+    """``lines``, further columns to group them by, and the sums to take per group.
 
     A sum over decimal(8,2) runs on a plain long, several times faster than on
-    decimal(18,2); the cast is only used for measures known to fit.  Grouping by
-    task first keeps each such sum far below its limit of 10**16 however many
-    rows a group has; ``whole_sums`` then adds the task sums in full precision.
+    decimal(18,2); the cast is only used for measures known to fit.  Its limit
+    is 10**16, which fewer than 10**10 such rows cannot reach.  Above that rows
+    are grouped by task as well, which keeps each sum far below the limit, and
+    ``whole_sums`` adds the task sums in full precision.
     """
 
     def amount(measure: str) -> Column:
         return F.col(measure).cast("decimal(8,2)") if star.is_small(measure) else F.col(measure)
 
     sums = [F.sum(amount(TOTALS[t])).cast("decimal(28,2)").alias(t) for t in totals]
-    return lines.withColumn("_task", F.spark_partition_id()), sums
+    if sums_fit(star):
+        return lines, [], sums
+    return lines.withColumn("_task", F.spark_partition_id()), ["_task"], sums
 
 
 def whole_sums(names: Sequence[str]) -> list[Column]:
@@ -85,9 +96,13 @@ def rollup(
     dimensions, so neither their size nor a hot key matters.  Distinct
     transactions are rows less the stored surplus rows.  ``where`` filters a
     dimension before its join; a filtered calendar is joined first and prunes
-    year partitions.  ``clean`` leaves quarantined rows out; ``rows`` names a plain row count.
+    year partitions.  Where a cube of the star has the keys, it is summed in
+    place of the fact.  ``clean`` leaves quarantined rows out; ``rows`` names a plain row count.
     """
     where = where or {}
+    cube = covering(star.cubes, via, by, where, star.dims)
+    if cube is not None:
+        return cube_rollup(star, cube, via, by, totals, count, where, clean, rows)
     dims = {name: star.dims[name].where(where[name]) if name in where else star.dims[name] for name in via}
     lines = fact_lines(star, clean)
     if star.repeats is None:
@@ -112,15 +127,20 @@ def rollup(
 
     counted = [n for n in (count, rows) if n]
     names = [*totals, *counted]
-    tasked, sums = task_sums(star, lines, totals)
-    partial = tasked.groupBy(*keys, "_task").agg(*sums, *[F.count("*").alias(n) for n in counted])
-    partial = partial.select(*keys, *names)
+    tasked, by_task, sums = task_sums(star, lines, totals)
+    # Surplus rows are lines that count less than nothing: one shuffle adds up both.
+    measures = list(dict.fromkeys(TOTALS[t] for t in totals))
+    fed = tasked.select(*keys, *by_task, *measures, *[F.lit(1).cast("long").alias(n) for n in counted])
     if surplus is not None:
-        partial = partial.unionByName(surplus.select(*keys, count), allowMissingColumns=True)
+        fed = fed.unionByName(surplus.select(*keys, count), allowMissingColumns=True)
+    partial = fed.groupBy(*keys, *by_task).agg(*sums, *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in counted])
+    partial = partial.select(*keys, *names)
     if late_days is not None:
         partial = _calendar(star, partial, late_days, attributes)
         keys = [k for k in keys if k != "date_key" or k in by] + attributes
-    small = partial.groupBy(*keys).agg(*whole_sums(names))
+    small = partial
+    if by_task or late_days is not None:
+        small = partial.groupBy(*keys).agg(*whole_sums(names))
     for name, dim in dims.items():
         wanted = [c for c in by if c in dim.columns and c != DIM_KEYS[name]]
         small = small.join(dim.select(DIM_KEYS[name], *wanted), DIM_KEYS[name])

@@ -14,11 +14,19 @@ from pyspark.sql import functions as F
 from salesloom.functions.measures import TOTALS
 from salesloom.operators import dimensions as dm
 from salesloom.operators import facts, incremental
+from salesloom.operators.evolving import extended_dimensions
+from salesloom.operators.merging import SURPLUS, Side, merge_fact, publish_fact, side_rows, surplus_of
 from salesloom.operators.staging import stage
-from salesloom.schemas import RAW_COLUMNS
-from salesloom.sources.files import append_raw, path_exists, read_text_csv
-from salesloom.sources.tables import save_by_year, save_table
-
+from salesloom.plans.cubes import CUBES
+from salesloom.plans.cubes import SIDES as CUBE_SIDES
+from salesloom.schemas import STAGING, conform
+from salesloom.session import scratch_path
+from salesloom.sources import storage
+from salesloom.sources.loads import land_file, landed, ledger
+from salesloom.sources.snapshots import Snapshot, opened, publish
+from salesloom.sources.tables import read_table
+
+FACT_TABLE = "fact_financial_transactions"
 DIMENSIONS = ("dim_date", "dim_product", "dim_segment", "dim_geography", "dim_discount")
 
 
@@ -27,9 +35,10 @@ class Star:
     """A fact with its dimensions.
 
     ``repeats`` (see ``repeated_ids``) lets reports count distinct transactions
-    additively; without it they fall back to an exact distinct count.  ``rows``
-    holds the sizes of the dimensions, ``small`` the measures known to be small;
-    both are filled on first use.
+    additively; without it they fall back to an exact distinct count.
+    ``cubes`` are totals kept beside the fact (see ``plans.cubes``), used where
+    they suffice.  ``rows`` holds the sizes of the dimensions and of the fact,
+    ``small`` the measures known to be small; both are filled on first use.
     """
 
     fact: DataFrame
@@ -37,6 +46,13 @@ class Star:
     repeats: DataFrame | None = None
     rows: dict[str, int] = field(default_factory=dict)
     small: dict[str, bool] = field(default_factory=dict)
+    cubes: dict[str, DataFrame] = field(default_factory=dict)
+
+    def lines(self) -> int:
+        """Rows of the fact, from the file footers."""
+        if FACT_TABLE not in self.rows:
+            self.rows[FACT_TABLE] = self.fact.count()
+        return self.rows[FACT_TABLE]
 
     def size(self, dim: str) -> int:
         if dim not in self.rows:
@@ -64,6 +80,14 @@ class Settings:
     holidays: DataFrame | None = None
     policy: str = "error"
     staged_by_year: bool = False
+    # Buckets of the id's hash below each year of the fact: a merge reads and rewrites within them.
+    buckets: int = 0
+    # Whether totals for the reports are kept beside the fact and merged with it.
+    cubes: bool = True
+
+    @property
+    def sides(self) -> tuple[Side, ...]:
+        return (SURPLUS, *CUBE_SIDES) if self.cubes else (SURPLUS,)
 
 
 def side_by_side(tasks: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
@@ -72,66 +96,68 @@ def side_by_side(tasks: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFra
         return dict(zip(tasks, pool.map(lambda build: build(), tasks.values())))
 
 
-def build_dimensions(
-    staged: DataFrame, path: str, settings: Settings, keep_keys: bool = False
-) -> dict[str, DataFrame]:
+def build_dimensions(staged: DataFrame, path: str, settings: Settings, keep_keys: bool = False) -> dict[str, DataFrame]:
     """Write the five dimensions, as independent jobs side by side.
 
-    ``keep_keys`` extends the dimensions stored at ``path`` instead of
-    renumbering them, so stored fact rows keep pointing at the same members.
+    ``keep_keys`` extends the dimensions stored at ``path`` by the members of
+    ``staged`` instead of renumbering them, so stored fact rows keep pointing at
+    the same members; ``staged`` need then hold new lines only.
     """
     spark = staged.sparkSession
-
-    def stored(name: str) -> DataFrame | None:
-        if not (keep_keys and path_exists(spark, f"{path}/{name}")):
-            return None
-        # The table is rewritten below, so its old content is cut loose first.
-        return dm.checkpointed(spark.read.parquet(f"{path}/{name}"))
-
     builders = {
         "dim_date": lambda: dm.dim_date(
             spark, settings.spine_start, settings.spine_end, settings.weekend_days, settings.holidays
         ),
-        "dim_product": lambda: dm.dim_product(staged, stored("dim_product")),
-        "dim_segment": lambda: dm.dim_segment(staged, stored("dim_segment")),
-        "dim_geography": lambda: dm.dim_geography(staged, settings.regions, stored("dim_geography")),
-        "dim_discount": lambda: dm.dim_discount(staged, settings.bands, stored("dim_discount")),
+        "dim_product": lambda: dm.dim_product(staged),
+        "dim_segment": lambda: dm.dim_segment(staged),
+        "dim_geography": lambda: dm.dim_geography(staged, settings.regions),
+        "dim_discount": lambda: dm.dim_discount(staged, settings.bands),
     }
+    if keep_keys:
+        builders.update(extended_dimensions(load_dimensions(spark, path), staged, settings.regions, settings.bands))
 
     def build(name: str) -> DataFrame:
-        return save_table(builders[name](), f"{path}/{name}")
+        return publish(builders[name](), f"{path}/{name}")
 
     return side_by_side({name: partial(build, name) for name in builders})
 
 
-def store_repeats(fact: DataFrame, path: str) -> DataFrame | None:
-    """Write the surplus rows of ``fact``; None if copies of an id disagree in a key."""
-    return usable_repeats(save_table(facts.repeated_ids(fact), path))
+def star_of(spark: SparkSession, fact: Snapshot, dims: dict[str, DataFrame], rows: dict[str, int] | None = None) -> Star:
+    """A star over one version of the fact; side tables are used only if they belong to that version."""
+    surplus = surplus_of(spark, fact)
+    cubes = {name: side_rows(spark, fact, f"cube_{name}") for name in CUBES}
+    known = {name: cube for name, cube in cubes.items() if cube is not None}
+    # Distinct transactions of a cube are its lines less the surplus, so without that it is of no use.
+    return Star(fact.read(spark), dims, surplus, rows or {}, cubes=known if surplus is not None else {})
 
 
-def usable_repeats(repeats: DataFrame) -> DataFrame | None:
-    mixed = repeats.agg(F.coalesce(F.max("mixed"), F.lit(False))).first()[0]
-    return None if mixed else repeats.drop("mixed")
-
-
-def build_star(staged: DataFrame, path: str, settings: Settings = Settings()) -> Star:
-    """Full build of dimensions and fact from a stored staging relation."""
+def build_star(staged: DataFrame, path: str, settings: Settings = Settings(), stamps: dict | None = None) -> Star:
+    """Full build of dimensions and fact from the staging relation, which is read several times: best stored."""
     dims = build_dimensions(staged, path, settings)
     rows = {name: dim.count() for name, dim in dims.items()}
-    # Repeats are settled on the stored lines, before five lookups widen the plan.
+    # Repeats are settled on the lines, before five lookups widen the plan.
     lines = facts.deduplicate(facts.identified(staged), settings.policy, loaded="load_datetime")
-    fact = save_by_year(
+    fact = publish_fact(
         facts.sales_fact(lines, dims, rows),
-        f"{path}/fact_financial_transactions",
+        f"{path}/{FACT_TABLE}",
+        settings.buckets,
         grouped=settings.staged_by_year,
+        stamps=stamps,
+        sides=settings.sides,
     )
-    return Star(fact, dims, store_repeats(fact, f"{path}/repeated_ids"), rows)
+    return star_of(staged.sparkSession, fact, dims, rows)
+
+
+def load_dimensions(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    return {name: read_table(spark, f"{path}/{name}") for name in DIMENSIONS}
 
 
 def load_star(spark: SparkSession, path: str) -> Star:
-    dims = {name: spark.read.parquet(f"{path}/{name}") for name in DIMENSIONS}
-    fact = spark.read.parquet(f"{path}/fact_financial_transactions")
-    return Star(fact, dims, usable_repeats(spark.read.parquet(f"{path}/repeated_ids")))
+    """The stored star, each table at its newest version."""
+    fact = opened(spark, f"{path}/{FACT_TABLE}")
+    if fact is None:
+        raise FileNotFoundError(f"no fact is stored below {path}")
+    return star_of(spark, fact, load_dimensions(spark, path))
 
 
 @dataclass
@@ -156,11 +182,13 @@ def run_warehouse(
 ) -> RunSummary:
     """Load, stage, dimensions, fact, reports, checks: in order, below ``root``.
 
-    A step that raises ends the run.  ``full_refresh`` rebuilds everything from
-    the landed rows; otherwise rows landed on days after ``start`` are merged
-    into the stored fact.  Without ``start`` the latest load day of the fact is
-    taken, that day included: a second load on one day is not missed, and
-    lines already there are replaced by themselves.
+    A step that raises ends the run, and the run can be repeated: a file with
+    the same content replaces its own load, every table changes by one new
+    version, and the fact names the loads it holds.  ``full_refresh`` rebuilds
+    everything from the loads that count.  Otherwise the loads that the fact
+    does not hold yet are merged into it, and rows of loads that were replaced
+    go; with ``start``, all loads of later days are merged (again).  Only these
+    loads are read and parsed.
     """
     from salesloom.operators.quality import run_checks, verdict
     from salesloom.plans.reports import REPORTS
@@ -174,39 +202,57 @@ def run_warehouse(
         clock = time.monotonic()
 
     landed_path, star_path = f"{root}/raw_financials", f"{root}/staging"
-    fact_path = f"{star_path}/fact_financial_transactions"
+    fact_path = f"{star_path}/{FACT_TABLE}"
     if not skip_load:
-        if raw_csv is None or not path_exists(spark, raw_csv):
-            raise FileNotFoundError(f"raw file not found: {raw_csv}")
-        append_raw(read_text_csv(spark, raw_csv, RAW_COLUMNS), landed_path, "raw_financials")
+        if raw_csv is None:
+            raise FileNotFoundError("no raw file is named")
+        land_file(spark, landed_path, raw_csv)
         done("load")
 
-    staged = stage(spark.read.parquet(landed_path))
-    rebuild = full_refresh or not path_exists(spark, fact_path)
+    loads = ledger(spark, landed_path)
+    live = [load.loaded_at for load in loads]
+    stored = opened(spark, fact_path)
+    rebuild = full_refresh or stored is None
+    held = [] if rebuild else stored.stamps.get("loads", [])
+    chosen = [load for load in loads if load.loaded_at not in held]
+    if not rebuild:
+        summary.incremental_start = start or incremental.day_of(max(held, default=None))
+        if start is not None:
+            chosen = [load for load in loads if load.loaded_at[:10] > start]
+    # The text of the loads at hand is parsed once; what follows reads typed columns.
+    parsed = scratch_path(spark, "staged")
+    stage(landed(spark, landed_path, chosen)).write.parquet(parsed)
+    staged = conform(spark.read.schema(STAGING).parquet(parsed), STAGING)
+    done("staging")
     if rebuild:
-        star = build_star(staged, star_path, settings)
+        star = build_star(staged, star_path, settings, {"loads": live})
         done("dimensions and fact")
     else:
-        stored = spark.read.parquet(fact_path)
-        summary.incremental_start = start or incremental.incremental_start(stored)
-        done("incremental start")
         dims = build_dimensions(staged, star_path, settings, keep_keys=True)
         done("dimensions")
-        new = incremental.loaded_after(staged, summary.incremental_start, inclusive=start is None)
         rows = {name: dim.count() for name, dim in dims.items()}
-        fact = incremental.upsert(
-            spark, fact_path, facts.sales_fact(new, dims, rows), policy=settings.policy
+        merged = {load.loaded_at for load in chosen} | set(held)
+        fact = merge_fact(
+            spark,
+            fact_path,
+            facts.sales_fact(staged, dims, rows),
+            settings.policy,
+            # Under keep_all the rows of a load that is merged again have to go first.
+            removed_loads=[t for t in held if t not in live or (start and t[:10] > start)],
+            stamps={"loads": [t for t in live if t in merged]},
+            sides=settings.sides,
         )
-        star = Star(fact, dims, store_repeats(fact, f"{star_path}/repeated_ids"), rows)
+        star = star_of(spark, fact, dims, rows)
         done("fact")
 
     def report(name: str) -> DataFrame:
-        return save_table(REPORTS[name](star), f"{root}/analytics/{name}")
+        return publish(REPORTS[name](star), f"{root}/analytics/{name}")
 
     reports = side_by_side({name: partial(report, name) for name in REPORTS})
     done("reports")
     if not skip_checks:
-        summary.checks = save_table(run_checks(star, reports), f"{root}/checks")
+        summary.checks = publish(run_checks(star, reports), f"{root}/checks")
         summary.passed = verdict(summary.checks).first()["passed"]
         done("checks")
+    storage.delete(spark, parsed)
     return summary

@@ -45,6 +45,7 @@ def load_all() -> None:
         adhoc,
         aggregates,
         checks,
+        extensions,
         ingest,
         joins,
         profiles,

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.functions.measures import percent, quotient
@@ -18,6 +21,7 @@ from salesloom.registry import query
 from salesloom.registry.oracle import effect_class, on_lines, on_star, pct
 from salesloom.registry.oracle import quotient as sql_quotient
 from salesloom.registry.star import arriving_daily
+from salesloom.schemas import STAGING
 
 
 @query(
@@ -183,12 +187,17 @@ def ag10(spark, folder):
 @query(
     "ag11_value_counts",
     on_lines(
-        "SELECT 'country_name' AS column_name, country_name AS value, count(*) AS n FROM lines "
-        "WHERE country_name IS NOT NULL GROUP BY country_name ORDER BY n DESC, value LIMIT 5"
+        " UNION ALL ".join(
+            f"SELECT * FROM (SELECT '{c}' AS column_name, {c} AS value, count(*) AS n FROM lines "
+            f"WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY n DESC, value LIMIT 5)"
+            for c in pf.CATEGORIES
+        )
     ),
 )
 def ag11(spark, folder):
-    return pf.value_counts(ctx.staged(spark, folder), "country_name")
+    """The most frequent values of every category."""
+    counts = [pf.value_counts(ctx.staged(spark, folder), c) for c in pf.CATEGORIES]
+    return reduce(DataFrame.unionByName, counts)
 
 
 REPRICED = on_lines(
@@ -215,7 +224,10 @@ def ag13(spark, folder):
     return pf.discount_share(ctx.staged(spark, folder))
 
 
-_DESCRIBED = ("units_sold", "gross_sales", "discounts", "profit", "month_number")
+_DESCRIBED = (
+    "units_sold", "manufacturing_price", "sale_price", "gross_sales", "discounts", "net_sales", "cogs", "profit",
+    "month_number", "year",
+)
 
 
 def described(columns) -> str:
@@ -244,46 +256,51 @@ def ag14(spark, folder):
     return rounded_description(pf.describe(ctx.staged(spark, folder), _DESCRIBED))
 
 
-_COUNTED = ("segment_name", "product_name", "discounts", "profit", "transaction_date")
+# What the text file leaves out, and what its load adds.
+_MISSING = {
+    "discounts": "count(*) FILTER (WHERE discounts = 0)",
+    "profit": "count(*) FILTER (WHERE discount_band = 'None')",
+    "load_datetime": "count(*) FILTER (WHERE false)",
+}
 
 
 @query(
     "ag15_null_counts",
     on_lines(
         " UNION ALL ".join(
-            f"SELECT '{c}' AS column_name, "
-            + (
-                "count(*) FILTER (WHERE discounts = 0)"
-                if c == "discounts"
-                else "count(*) FILTER (WHERE discount_band = 'None')"
-                if c == "profit"
-                else f"count(*) FILTER (WHERE {c} IS NULL)"
-            )
-            + " AS null_count FROM lines"
-            for c in _COUNTED
+            f"SELECT '{c}' AS column_name, {_MISSING.get(c, f'count(*) - count({c})')} AS null_count FROM lines"
+            for c in STAGING.names
         )
     ),
 )
 def ag15(spark, folder):
-    """NULLs per column of the staged text file, in one pass."""
+    """NULLs of every column of the staged text file, in one pass."""
     from salesloom.operators.staging import stage, stamp_load
     from salesloom.schemas import RAW_COLUMNS
     from salesloom.sources.files import read_text_csv
 
     raw = read_text_csv(spark, ctx.raw_csv(spark, folder), RAW_COLUMNS)
-    return pf.null_counts(stage(stamp_load(raw, "raw_financials")).select(*_COUNTED))
+    return pf.null_counts(stage(stamp_load(raw, "raw_financials")))
+
+
+_WHOLE = [c for c in STAGING.names if c != "load_datetime"]
 
 
 @query(
     "ag16_duplicate_rows",
     on_lines(
-        "SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_rows FROM (SELECT count(*) AS n FROM lines "
+        "SELECT 'whole rows' AS compared, CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_rows "
+        f"FROM (SELECT count(*) AS n FROM lines GROUP BY {', '.join(_WHOLE)}) UNION ALL "
+        "SELECT 'some columns', CAST(coalesce(sum(n - 1), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM lines "
         "GROUP BY segment_name, product_name, discount_band, units_sold, year)"
     ),
 )
 def ag16(spark, folder):
-    columns = ["segment_name", "product_name", "discount_band", "units_sold", "year"]
-    return pf.duplicate_rows(ctx.staged(spark, folder).select(*columns))
+    """Rows that repeat another one as a whole, and in some of their columns."""
+    lines = ctx.staged(spark, folder)
+    some = ["segment_name", "product_name", "discount_band", "units_sold", "year"]
+    whole = pf.duplicate_rows(lines).withColumn("compared", F.lit("whole rows"))
+    return whole.unionByName(pf.duplicate_rows(lines.select(*some)).withColumn("compared", F.lit("some columns")))
 
 
 COVERAGE = on_lines(
@@ -333,11 +350,37 @@ def _top(spark, folder, dim, by, limit):
     return totals.orderBy(F.col("total_profit").desc_nulls_first(), by).limit(limit)
 
 
+_BOARDS = {
+    "product_name": ("dim_product", "product_key"),
+    "segment_name": ("dim_segment", "segment_key"),
+    "country_name": ("dim_geography", "geography_key"),
+}
+
+
 @query("tk2_top_five_products", _top_sql("product_name", "dim_product", "product_key", 5))
 def tk2(spark, folder):
     return _top(spark, folder, "dim_product", "product_name", 5)
 
 
+@query(
+    "tk2_three_leaderboards",
+    on_star(
+        " UNION ALL ".join(
+            f"SELECT * FROM (SELECT '{by}' AS board, x.{by} AS member, CAST(sum(f.profit) AS DOUBLE) AS total_profit "
+            f"FROM clean f JOIN {dim} x ON f.{key} = x.{key} GROUP BY 2 ORDER BY sum(f.profit) DESC NULLS FIRST, 2 LIMIT 5)"
+            for by, (dim, key) in _BOARDS.items()
+        )
+    ),
+)
+def tk2_boards(spark, folder):
+    """The best five products, segments and countries."""
+    boards = [
+        _top(spark, folder, dim, by, 5).select(F.lit(by).alias("board"), F.col(by).alias("member"), "total_profit")
+        for by, (dim, _) in _BOARDS.items()
+    ]
+    return reduce(DataFrame.unionByName, boards)
+
+
 @query("tk3_top_ten_countries", _top_sql("country_name", "dim_geography", "geography_key", 10))
 def tk3(spark, folder):
     return _top(spark, folder, "dim_geography", "country_name", 10)

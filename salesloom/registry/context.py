@@ -55,6 +55,8 @@ def settings(spark: SparkSession, folder: str, spine_end: str = SPINE[1]) -> Set
         regions=retail.country_regions(spark, folder),
         policy="keep_all",
         staged_by_year=True,
+        # Registered reports and star queries are made from the fact itself.
+        cubes=False,
     )
 
 

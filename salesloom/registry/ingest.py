@@ -11,7 +11,7 @@ from salesloom.registry import query
 from salesloom.registry.oracle import on_lines, on_star, sums
 from salesloom.schemas import RAW_COLUMNS, STAGING, column_comments
 from salesloom.session import scratch_path
-from salesloom.sources import files, tables
+from salesloom.sources import files, snapshots, tables
 
 RAW_COUNTS = on_lines(
     "SELECT segment_name AS segment, ' ' || discount_band || ' ' AS band, count(*) AS n, "
@@ -187,14 +187,24 @@ def snk7(spark, folder):
     return year.groupBy("segment_key").agg(F.count("*").alias("n"), F.sum("net_sales").alias("net_sales"))
 
 
-_COMMENTED = ("transaction_id", "date_key", "product_key", "units_sold", "net_sales", "profit")
 _COMMENTS = {
     "transaction_id": "md5 of the natural key",
     "date_key": "key into dim_date",
     "product_key": "key into dim_product",
+    "segment_key": "key into dim_segment",
+    "geography_key": "key into dim_geography",
+    "discount_key": "key into dim_discount",
     "units_sold": "units on the sale line",
+    "sale_price": "list price of one unit",
+    "gross_sales": "sales before discounts",
+    "discounts": "discount amount",
     "net_sales": "sales after discounts",
+    "cogs": "cost of goods sold",
     "profit": "net sales less cost of goods",
+    "transaction_date": "day of the sale",
+    "load_date": "time the line was landed",
+    "record_source": "where the line came from",
+    "has_missing_keys": "whether a dimension lookup failed",
 }
 
 
@@ -202,19 +212,20 @@ _COMMENTS = {
     "snk8_column_descriptions",
     on_star(
         " UNION ALL ".join(
-            f"SELECT '{c}' AS column_name, '{text}' AS description, count({c}) AS present FROM fact"
+            f"SELECT '{c}' AS column_name, '{text}' AS description, "
+            f"count({'*' if c == 'load_date' else c}) AS present FROM fact"
             for c, text in _COMMENTS.items()
         )
     ),
 )
 def snk8(spark, folder):
-    """Descriptions read back from the stored fact, beside the filled values they describe."""
-    fact = spark.read.parquet(ctx.star(spark, folder).fact.inputFiles()[0].rsplit("/sale_year=", 1)[0])
+    """Descriptions of all columns as the stored fact has them, beside the filled values they describe."""
+    path = scratch_path(spark, "described")
+    snapshots.publish(ctx.star(spark, folder).fact.drop("sale_year"), path)
+    fact = tables.read_table(spark, path)
     comments = column_comments(fact)
-    described = F.create_map(*[F.lit(x) for c in _COMMENTED for x in (c, comments.get(c, ""))])
-    return _present(fact.select(*_COMMENTED)).select(
-        "column_name", described[F.col("column_name")].alias("description"), "present"
-    )
+    described = F.create_map(*[F.lit(x) for c in fact.columns for x in (c, comments.get(c, ""))])
+    return _present(fact).select("column_name", described[F.col("column_name")].alias("description"), "present")
 
 
 UNREADABLE = {c: "count(*) FILTER (WHERE false)" for c in sg.RAW_NUMBER_COLUMNS}
@@ -262,6 +273,40 @@ def stg2(spark, folder):
     return sg.coerce_raw(raw).groupBy(F.col("Date").alias("transaction_date")).agg(F.count("*").alias("n"))
 
 
+_DAY_FORMATS = ("M/d/yyyy", "yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy/MM/dd", "dd-MMM-yyyy")
+
+
+@query("stg2_date_formats", on_lines("SELECT transaction_date, count(*) AS n FROM lines GROUP BY 1"))
+def stg2_formats(spark, folder):
+    """Days written in five ways, by month."""
+    raw = files.read_text_csv(spark, ctx.raw_csv(spark, folder), RAW_COLUMNS)
+    day = F.to_date("Date", "M/d/yyyy")
+    written = F.date_format(day, _DAY_FORMATS[0])
+    for i, pattern in enumerate(_DAY_FORMATS[1:], 1):
+        written = F.when(F.month(day) % len(_DAY_FORMATS) == i, F.date_format(day, pattern)).otherwise(written)
+    parsed = sg.coerce_raw(raw.withColumn("Date", F.concat(F.lit(" "), written)))
+    return parsed.groupBy(F.col("Date").alias("transaction_date")).agg(F.count("*").alias("n"))
+
+
+@query(
+    "stg1_lost_digits",
+    on_lines(
+        "SELECT 'Gross Sales' AS column_name, count(*) FILTER (WHERE month_number = 1 AND CAST(gross_sales * 100 AS BIGINT) % 8 <> 0) "
+        "AS rounded, count(*) FILTER (WHERE month_number = 2) AS too_large FROM lines "
+        "UNION ALL SELECT 'Sales', count(*) FILTER (WHERE false), count(*) FILTER (WHERE false) FROM lines"
+    ),
+)
+def stg1_lost(spark, folder):
+    """Amounts that have more digits than the staged type: with a third decimal, or above sixteen digits."""
+    raw = files.read_text_csv(spark, ctx.raw_csv(spark, folder), RAW_COLUMNS)
+    amount = sg.parse_amount(F.col("`Gross Sales`"), "decimal(28,6)")
+    month = F.col("Month Number").cast("int")
+    longer = F.when(month == 1, F.format_string("$%s", (amount / 8).cast("decimal(28,5)").cast("string")))
+    longer = longer.when(month == 2, F.concat(F.lit("1"), F.lpad(F.lit(""), 17, "0"))).otherwise(F.col("`Gross Sales`"))
+    lost = sg.lost_digits(raw.withColumn("Gross Sales", longer))
+    return lost.where(F.col("column_name").isin("Gross Sales", "Sales"))
+
+
 @query(
     "stg3_rename",
     _column_counts({new: PRESENT[old] for old, new in sg.RENAMES.items()}),

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.functions.measures import growth_percent, percent
@@ -200,16 +203,22 @@ def jn10(spark, folder):
         "UNION ALL SELECT 'product_key', count(*) FROM fact f LEFT JOIN dim_product d "
         "ON f.product_key = d.product_key AND d.is_current WHERE d.product_key IS NULL "
         "UNION ALL SELECT 'segment_key', count(*) FROM fact f LEFT JOIN dim_segment d "
-        "ON f.segment_key = d.segment_key AND d.segment_name <> 'BUILDING' WHERE d.segment_key IS NULL"
+        "ON f.segment_key = d.segment_key AND d.segment_name <> 'BUILDING' WHERE d.segment_key IS NULL "
+        "UNION ALL SELECT 'geography_key', count(*) FROM fact f LEFT JOIN dim_geography d "
+        "ON f.geography_key = d.geography_key AND d.country_name <> 'FRANCE' WHERE d.geography_key IS NULL "
+        "UNION ALL SELECT 'discount_key', count(*) FROM fact f LEFT JOIN dim_discount d "
+        "ON f.discount_key = d.discount_key AND d.discount_band <> 'Low' WHERE d.discount_key IS NULL"
     ),
 )
 def jn11(spark, folder):
-    """Fact rows without a dimension row; one segment is taken out of its dimension."""
+    """Fact rows without a dimension row; a segment, a country and a band are taken out of their dimensions."""
     star = ctx.short_star(spark, folder)
     sides = {
         "date_key": star.dims["dim_date"],
         "product_key": star.dims["dim_product"].where("is_current"),
         "segment_key": star.dims["dim_segment"].where("segment_name <> 'BUILDING'"),
+        "geography_key": star.dims["dim_geography"].where("country_name <> 'FRANCE'"),
+        "discount_key": star.dims["dim_discount"].where("discount_band <> 'Low'"),
     }
 
     def count(key, dim):
@@ -218,8 +227,7 @@ def jn11(spark, folder):
         )
         return left.agg(F.lit(key).alias("column_name"), F.count("*").alias("orphans"))
 
-    first, second, third = [count(k, d) for k, d in sides.items()]
-    return first.unionByName(second).unionByName(third)
+    return reduce(DataFrame.unionByName, [count(k, d) for k, d in sides.items()])
 
 
 @query(

@@ -29,7 +29,7 @@ from salesloom.registry.oracle import (
 )
 from salesloom.session import scratch_path
 from salesloom.sources import retail
-from salesloom.sources.tables import save_by_year
+from salesloom.sources.tables import read_table, save_by_year
 
 DATE_COLUMNS = (
     "date_key, date_day, day_of_week, day_name, day_of_month, day_of_year, week_of_year, month_number, "
@@ -219,7 +219,7 @@ def pip1(spark, folder):
     settings = Settings(*ctx.SPINE, regions=retail.country_regions(spark, folder), policy="keep_all")
     summary = run_warehouse(spark, root, ctx.raw_csv(spark, folder), full_refresh=True, settings=settings)
     done = {"load", "dimensions and fact", "reports", "checks"} <= set(summary.steps)
-    months = spark.read.parquet(f"{root}/analytics/monthly_sales_analysis")
+    months = read_table(spark, f"{root}/analytics/monthly_sales_analysis")
     return months.select(
         "year", "month_number", "gross_sales", "net_sales", "total_profit",
         F.lit(done).alias("every_step_done"),

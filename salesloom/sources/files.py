@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesloom.operators.staging import stamp_load, strip_headers
+from salesloom.sources.storage import path_exists
 
 # Fixed value: folder under which raw files are landed.
 LANDING_PREFIX = "raw/financials"
@@ -31,12 +32,6 @@ def read_text_csv(spark: SparkSession, path: str, columns: Sequence[str] | None
     return strip_headers(reader.csv(path))
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return files.exists(hadoop_path)
-
-
 def first_existing(spark: SparkSession, paths: Sequence[str]) -> str:
     """The first path that exists; object stores and local folders alike are Hadoop paths."""
     for path in paths:

@@ -7,11 +7,18 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from salesloom.operators.facts import YEAR_COLUMN, with_year
+from salesloom.sources.snapshots import opened
 
 
 def read_table(spark: SparkSession, source: str) -> DataFrame:
-    """A declared source: a path (anything with a slash) or a table or view name."""
-    return spark.read.parquet(source) if "/" in source else spark.table(source)
+    """A declared source: a path (anything with a slash) or a table or view name.
+
+    Of a snapshot table the newest version is read; the frame stays with it.
+    """
+    if "/" not in source:
+        return spark.table(source)
+    stored = opened(spark, source)
+    return spark.read.parquet(source) if stored is None else stored.read(spark)
 
 
 def save_view(df: DataFrame, name: str) -> DataFrame:
@@ -24,6 +31,8 @@ def save_table(df: DataFrame, path: str) -> DataFrame:
 
     The new content is complete before it takes the place of the old one, so a
     failed job leaves the previous table.  ``df`` may even read that table.
+    Between the removal of the old folder and the move of the new one there is
+    no table for a moment: where others read meanwhile, use ``snapshots.publish``.
     """
     spark, new = df.sparkSession, f"{path}.new-{uuid.uuid4().hex[:12]}"
     df.write.parquet(new)

@@ -9,6 +9,7 @@ from salesloom.plans.reports import REPORTS
 from salesloom.plans.warehouse import Settings, load_star, run_warehouse
 from salesloom.registry.texts import raw_text
 from salesloom.sources.files import write_csv
+from salesloom.sources.tables import read_table
 from salesloom.streaming.incremental_stream import merge_files
 
 SPAN = Settings(spine_start="2014-01-01", spine_end="2017-01-01")
@@ -43,7 +44,7 @@ def files(lines, tmp_path_factory):
 
 
 def report_rows(spark, root, name):
-    rows = spark.read.parquet(f"{root}/analytics/{name}")
+    rows = read_table(spark, f"{root}/analytics/{name}")
     return sorted(map(str, rows.drop("product_key", "segment_key", "geography_key", "discount_key").collect()))
 
 
@@ -67,13 +68,13 @@ def test_same_file_again_changes_nothing(spark, files, tmp_path):
     root = str(tmp_path)
     run_warehouse(spark, root, str(files / "first"), settings=SPAN)
     path = f"{root}/staging/fact_financial_transactions"
-    ids = sorted(r[0] for r in spark.read.parquet(path).select("transaction_id").collect())
+    ids = sorted(r[0] for r in read_table(spark, path).select("transaction_id").collect())
     again = run_warehouse(
         spark, root, str(files / "first"), start="2000-01-01", skip_checks=True,
         settings=Settings("2014-01-01", "2017-01-01", policy="latest"),
     )
     assert again.checks is None
-    assert sorted(r[0] for r in spark.read.parquet(path).select("transaction_id").collect()) == ids
+    assert sorted(r[0] for r in read_table(spark, path).select("transaction_id").collect()) == ids
 
 
 def test_skip_load_and_missing_file(spark, files, tmp_path):
