@@ -336,7 +336,7 @@ def every_check() -> str:
     parts.append(_check("referential_integrity", dq.FACT_NAME, unmatched()))
     rules = {n: f"SELECT count(*) AS v FROM fact WHERE {c}" for n, c in _RULES.items()}
     parts.append(_check("row_rule", dq.FACT_NAME, rules, "warn"))
-    totals = {"monthly": "net_sales", "product": "profit", "segment": "net_sales"}
+    totals = {f"{n}_totals_match_fact": total for n, (total, _, _) in dq.RECONCILED.items()}
     off = "coalesce(abs(sum({c}) - sum({c}) FILTER (WHERE NOT has_missing_keys)) > 1, true)"
     recon = {n: f"SELECT CAST({off.format(c=c)} AS INTEGER) AS v FROM fact" for n, c in totals.items()}
     parts.append(_check("reconciliation", dq.FACT_NAME, recon))
