@@ -42,3 +42,19 @@ def test_anchors(spark):
     products = context.star(spark, folder).dims["dim_product"]
     empty = products.where("end_date < effective_date").count()
     assert (products.count(), products.where("is_current").count(), empty) == (1984, 64, 168)
+
+
+def test_entry_works_without_a_library_of_the_optional_queries():
+    """A module that cannot be imported costs the training-data queries, not the others."""
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        "import sys; sys.modules['xxhash'] = None; sys.modules['zstandard'] = None\n"
+        "import __spark_entry__ as e\n"
+        "print(len(e.queries()), len(e.oracle_sql()), any(n.startswith('op') for n in e.queries()))"
+    )
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+    counts = done.stdout.split()
+    assert counts == [str(len(registry.QUERIES)), str(len(registry.ORACLES)), "False"], done.stderr
