@@ -244,7 +244,21 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     )
 
 
+ROW = "__llm_row"
+
+
 def drop_near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """The rows of ``docs`` that are the smallest id of their group, all columns as they are."""
-    gone = near_duplicates(docs, settings).where("not kept").select(F.col("doc_id").alias("__llm_gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["__llm_gone_id"], "left_anti")
+    """One row of ``docs`` per group of near duplicates, all columns as they are.
+
+    Rows are told apart by a number of their own, not by id: rows that share an
+    id but not their text are grouped by their texts, and of repeated rows one
+    stays, as of rows without an id.  The smallest id stays, a null one only if
+    the group has no other.  Texts without words are in no group and stay.
+    """
+    rows = stored(docs.withColumn(ROW, F.monotonically_increasing_id()), "documents-numbered")
+    groups = near_duplicates(rows.select(F.col(ROW).alias("doc_id"), "text"), settings).select(
+        F.col("doc_id").alias(ROW), "component_id"
+    )
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id").cast("long"), F.col(ROW))
+    first = rows.select(ROW, "doc_id").join(groups, ROW).groupBy("component_id").agg(F.min_by(ROW, order).alias(ROW))
+    return rows.join(first.select(ROW), ROW, "left_semi").select(*[f"`{c}`" for c in docs.columns])

@@ -444,3 +444,14 @@ def test_pipeline(spark):
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality_rules", "line_dedup", "near_duplicates", "decontamination", "packing",
     ]
+
+
+def test_dropped_near_duplicates_are_never_the_only_copy(spark):
+    """Shared, repeated and null ids: a text that exists once stays, and of each group one row."""
+    a, b, c, d = (prose(60, seed) for seed in (21, 22, 23, 24))
+    rows = [(1, a), (2, a), (2, b), (3, c), (3, c), (None, d), (None, d), (None, a), (4, changed(b, [30])), (5, None), (5, "")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = minhash_dedup.drop_near_duplicates(table).collect()
+    got = sorted(((r.doc_id, r.text) for r in kept), key=str)
+    assert got == sorted([(1, a), (2, b), (3, c), (None, d), (5, None), (5, "")], key=str)
+    assert minhash_dedup.drop_near_duplicates(table.limit(0)).isEmpty()
