@@ -42,7 +42,8 @@ STAGES = [
     ("packing", pack),
 ]
 
-# Fuzzy lines, near duplicates by signature and best-fit packing have no SQL form; the tests use brute force.
+# Fuzzy lines, near duplicates by signature and best-fit packing have no SQL form.  The stages' operators are tested
+# one by one; of the whole run the tests check only stage names and that a part of the documents is left.
 ORACLE_SQL = None
 
 
