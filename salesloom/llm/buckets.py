@@ -43,6 +43,17 @@ def _could(left: str, right: str, percent: int) -> str:
     return f"100 * least({left}, {right}) >= {percent} * greatest({left}, {right})"
 
 
+def near_enough(left: str, right: str, percent: int) -> Column:
+    """Whether two sets of ``n`` elements can have the similarity, by the bits in which their parity sketches differ.
+
+    Sets of that similarity differ in so many elements at most, and their
+    sketches in no more bits: no similar pair is left out.
+    """
+    unequal = F.zip_with(f"sketch{left}", f"sketch{right}", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    differing = F.aggregate(unequal, F.lit(0), lambda total, bits: total + bits)
+    return differing * (100 + percent) <= (F.col(f"n{left}") + F.col(f"n{right}")) * (100 - percent)
+
+
 def _hub_pairs(members: DataFrame, salt: int, percent: int) -> DataFrame:
     """Each member against one hub of its bucket from another component."""
     ranked = members.select("*", F.xxhash64("node", F.lit(salt)).alias("order"))

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesloom.llm.buckets import Marks, linked_components, shared_buckets
+from salesloom.llm.buckets import Marks, linked_components, near_enough, shared_buckets
 from salesloom.llm.common import likely_among, map_arrow, stored
 
 MASK = (1 << 64) - 1
@@ -24,7 +24,9 @@ class Settings:
     ``bits`` low bits of each of ``minima`` minima are kept.  A pair is checked
     on its full sets if the similarity estimated from them is at least
     ``percent`` less ``margin``, five standard errors, or if one of the sets has
-    fewer than ``small`` shingles, for which the estimate is not good.
+    fewer than ``small`` shingles, for which the estimate is not good.  Pairs
+    that differ in more of ``sketch`` parity bits than similar sets can are left
+    out before, which loses no link.
     """
 
     words: int = 5
@@ -35,6 +37,7 @@ class Settings:
     bits: int = 4
     margin: int = 15
     small: int = 64
+    sketch: int = 2048
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -78,6 +81,15 @@ def _planes(minima: np.ndarray, bits: int) -> np.ndarray:
     return np.concatenate(planes).view(np.int64)
 
 
+def _sketch(values: np.ndarray, bits: int) -> np.ndarray:
+    """Per bit whether an odd number of the shingles fall on it, packed.
+
+    Shingles of both sets cancel out, so that two sketches differ in no more bits than the sets do in shingles.
+    """
+    places = np.bincount((values % np.uint64(bits)).astype(np.int64), minlength=bits)
+    return np.packbits((places & 1).astype(np.uint8)).view(np.int64)
+
+
 def _fingerprints(settings: Settings):
     factors, addends = _constants(1, settings.minima), _constants(2, settings.minima)
     # A band's key is a hash of its minima and its number.
@@ -90,34 +102,37 @@ def _fingerprints(settings: Settings):
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 values = shingles(text.as_py(), settings.words)
                 if not len(values):
-                    rows.append((doc, 0, 0, 0, [], []))
+                    rows.append((doc, 0, 0, 0, [], [], []))
                     continue
                 least = _minima(values, factors, addends)
                 bands = (_mixed(least[: weights.size].reshape(weights.shape)) * weights).sum(axis=1, dtype=np.uint64)
                 key = np.array([_mixed(values).sum(), np.bitwise_xor.reduce(values)], np.uint64).view(np.int64)
                 rows.append(
-                    (doc, len(values), int(key[0]), int(key[1]), _mixed(bands ^ salts).view(np.int64), _planes(least, settings.bits))
+                    (
+                        doc, len(values), int(key[0]), int(key[1]), _mixed(bands ^ salts).view(np.int64),
+                        _planes(least, settings.bits), _sketch(values, settings.sketch),
+                    )
                 )
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(column, kind)
                     for column, kind in zip(
-                        zip(*rows) if rows else [[]] * 6,
-                        (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())),
+                        zip(*rows) if rows else [[]] * 7,
+                        (*[pa.int64()] * 4, *[pa.list_(pa.int64())] * 3),
                     )
                 ],
-                ["node", "size", "set_sum", "set_xor", "bands", "planes"],
+                ["node", "size", "set_sum", "set_xor", "bands", "planes", "sketch"],
             )
 
     return of_batches
 
 
 def fingerprints(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Per row of ``docs``: id, set size, a 128-bit key of the set, band keys, packed low bits of the minima."""
+    """Per row of ``docs``: id, set size, a 128-bit key of the set, band keys, packed low bits of the minima, sketch."""
     return map_arrow(
         docs.select(docs["doc_id"].cast("long"), docs["text"].cast("string")),
         _fingerprints(settings),
-        "node long, size long, set_sum long, set_xor long, bands array<long>, planes array<long>",
+        "node long, size long, set_sum long, set_xor long, bands array<long>, planes array<long>, sketch array<long>",
     )
 
 
@@ -153,7 +168,8 @@ def _estimate(settings: Settings, left: str, right: str) -> Column:
 
 def _likely(settings: Settings, left: str, right: str) -> Column:
     likely = _estimate(settings, left, right) * 100 >= settings.percent - settings.margin
-    return F.col(f"small{left}") | F.col(f"small{right}") | likely
+    small = F.col(f"n{left}") < settings.small
+    return (small | (F.col(f"n{right}") < settings.small) | likely) & near_enough(left, right, settings.percent)
 
 
 def _short(key: Column) -> Column:
@@ -171,8 +187,8 @@ def _confirm(marks: DataFrame, sets: DataFrame, settings: Settings):
 
     def confirm(pairs: DataFrame) -> DataFrame:
         likely = (
-            pairs.join(marks.select(F.col("node").alias("a"), F.col("planes").alias("planes_a"), F.col("small").alias("small_a")), "a")
-            .join(marks.select(F.col("node").alias("b"), F.col("planes").alias("planes_b"), F.col("small").alias("small_b")), "b")
+            pairs.join(marks.toDF("a", "planes_a", "sketch_a", "n_a"), "a")
+            .join(marks.toDF("b", "planes_b", "sketch_b", "n_b"), "b")
             .where(_likely(settings, "_a", "_b"))
             .select("a", "b")
         )
@@ -220,7 +236,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     )
     planes = stored(
         single.join(wanted, "node", "left_semi").select(
-            "node", "planes", F.transform("bands", _short).alias("short_bands"), (F.col("size") < settings.small).alias("small")
+            "node", "planes", "sketch", F.transform("bands", _short).alias("short_bands"), F.col("size").alias("n")
         ),
         "document-planes",
     )
@@ -228,7 +244,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         planes,
         lambda left, right: F.when(_likely(settings, left, right), _first_meeting(left, right)).otherwise(False),
     )
-    confirm = _confirm(planes.select("node", "planes", "small"), sets, settings)
+    confirm = _confirm(planes.select("node", "planes", "sketch", "n"), sets, settings)
     found = linked_components(shared, confirm, settings.percent, hub_rounds=1, marks=marks)
     # A node may stand for several sets if rows share its id; the component is the node's.
     groups = chosen.join(found, "node", "left").select(
