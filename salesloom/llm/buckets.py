@@ -88,12 +88,49 @@ def _cross_pairs(members: DataFrame, percent: int, marks: Marks | None) -> DataF
     )
 
 
+def prefix_pairs(members: DataFrame, percent: int, sets: DataFrame) -> DataFrame:
+    """The pairs of nodes in open buckets that no component joins yet and whose rarest elements meet.
+
+    With the elements of all sets in one order, rare ones first, two similar
+    sets have their first common element so early that enough of either set is
+    left after it; no such pair is lost.  Members of a group that share frequent
+    elements only do not meet.  ``sets`` has ``node``, ``n``, ``sketch`` and ``elements``.
+    """
+    open_buckets = members.groupBy("bucket").agg(F.min("component").alias("c1"), F.max("component").alias("c2"))
+    nodes = members.join(open_buckets.where("c1 <> c2").select("bucket"), "bucket", "left_semi")
+    rows = stored(nodes.select("node", "component").distinct().join(sets, "node"), "open-sets")
+    each = rows.select("node", F.explode("elements").alias("element"))
+    often = each.groupBy("element").agg(F.count("*").alias("times"))
+    rare = (
+        each.join(often, "element")
+        .groupBy("node")
+        .agg(F.sort_array(F.collect_list(F.struct("times", "element"))).alias("ordered"))
+        .withColumn("n", F.size("ordered"))
+        .select("node", F.posexplode(F.expr(f"slice(ordered, 1, n - cast(ceil(n * {percent} / 100) as int) + 1)")).alias("at", "first"))
+        .where("first.times > 1")
+        .select("node", "at", F.col("first.element").alias("element"))
+    )
+    left = stored(rare.join(rows.select("node", "component", "n", "sketch"), "node"), "rare-elements")
+    right = left.select("element", *[F.col(c).alias(f"{c}_2") for c in left.columns if c != "element"])
+    # A pair at the threshold has that many elements in common.
+    needed = f"(n + n_2) * {percent}"
+    enough = f"(n - at) * {100 + percent} >= {needed} and (n_2 - at_2) * {100 + percent} >= {needed}"
+    return (
+        left.join(right, "element")
+        .where((F.col("node") < F.col("node_2")) & (F.col("component") != F.col("component_2")) & F.expr(enough))
+        .where(near_enough("", "_2", percent))
+        .select(F.col("node").alias("a"), F.col("node_2").alias("b"))
+        .distinct()
+    )
+
+
 def linked_components(
     shared: DataFrame,
     confirm: Callable[[DataFrame], DataFrame],
     percent: int,
     hub_rounds: int = 0,
     marks: Marks | None = None,
+    last: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """``node`` and ``component`` of every node with a confirmed link to another one of its buckets.
 
@@ -101,7 +138,8 @@ def linked_components(
     First all members of a bucket meet its smallest node, then, in
     ``hub_rounds``, hubs drawn by hash from other components; copies of one text
     thus cost a link each, not one per pair.  The last pass meets every pair that
-    is still in different components, so no link between components is lost.
+    is still in different components, so no link between components is lost;
+    ``last`` may give these pairs in another way.
     """
     pairs = (
         shared.where("node <> low")
@@ -117,7 +155,10 @@ def linked_components(
             .withColumn("component", F.coalesce("component", "node")),
             "bucket-members",
         )
-        pairs = _hub_pairs(members, salt, percent) if salt <= hub_rounds else _cross_pairs(members, percent, marks)
+        if salt <= hub_rounds:
+            pairs = _hub_pairs(members, salt, percent)
+        else:
+            pairs = last(members) if last else _cross_pairs(members, percent, marks)
         more = stored(confirm(pairs), "links-found")
         if not more.isEmpty():
             known = found.select(F.col("component").alias("a"), F.col("node").alias("b"))
