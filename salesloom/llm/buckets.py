@@ -43,14 +43,21 @@ def _could(left: str, right: str, percent: int) -> str:
     return f"100 * least({left}, {right}) >= {percent} * greatest({left}, {right})"
 
 
-def near_enough(left: str, right: str, percent: int) -> Column:
+def near_enough(left: str, right: str, percent: int, words: int | None = None) -> Column:
     """Whether two sets of ``n`` elements can have the similarity, by the bits in which their parity sketches differ.
 
     Sets of that similarity differ in so many elements at most, and their
-    sketches in no more bits: no similar pair is left out.
+    sketches in no more bits: no similar pair is left out.  With ``words`` given
+    it is spelled out word by word, which is compiled.
     """
-    unequal = F.zip_with(f"sketch{left}", f"sketch{right}", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
-    differing = F.aggregate(unequal, F.lit(0), lambda total, bits: total + bits)
+    if words is None:
+        unequal = F.zip_with(f"sketch{left}", f"sketch{right}", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+        differing = F.aggregate(unequal, F.lit(0), lambda total, bits: total + bits)
+    else:
+        differing = F.lit(0)
+        for word in range(words):
+            bits = F.get(f"sketch{left}", F.lit(word)).bitwiseXOR(F.get(f"sketch{right}", F.lit(word)))
+            differing = differing + F.bit_count(bits)
     return differing * (100 + percent) <= (F.col(f"n{left}") + F.col(f"n{right}")) * (100 - percent)
 
 
@@ -88,13 +95,14 @@ def _cross_pairs(members: DataFrame, percent: int, marks: Marks | None) -> DataF
     )
 
 
-def prefix_pairs(members: DataFrame, percent: int, sets: DataFrame) -> DataFrame:
+def prefix_pairs(members: DataFrame, percent: int, sets: DataFrame, words: int) -> DataFrame:
     """The pairs of nodes in open buckets that no component joins yet and whose rarest elements meet.
 
     With the elements of all sets in one order, rare ones first, two similar
     sets have their first common element so early that enough of either set is
     left after it; no such pair is lost.  Members of a group that share frequent
-    elements only do not meet.  ``sets`` has ``node``, ``n``, ``sketch`` and ``elements``.
+    elements only do not meet.  ``sets`` has ``node``, ``n``, ``sketch``
+    (of so many ``words``) and ``elements``; a set meets those that are no smaller.
     """
     open_buckets = members.groupBy("bucket").agg(F.min("component").alias("c1"), F.max("component").alias("c2"))
     nodes = members.join(open_buckets.where("c1 <> c2").select("bucket"), "bucket", "left_semi")
@@ -110,16 +118,18 @@ def prefix_pairs(members: DataFrame, percent: int, sets: DataFrame) -> DataFrame
         .where("first.times > 1")
         .select("node", "at", F.col("first.element").alias("element"))
     )
-    left = stored(rare.join(rows.select("node", "component", "n", "sketch"), "node"), "rare-elements")
-    right = left.select("element", *[F.col(c).alias(f"{c}_2") for c in left.columns if c != "element"])
-    # A pair at the threshold has that many elements in common.
+    table = stored(rare.join(rows.select("node", "component", "n", "sketch"), "node"), "rare-elements")
+    right = table.select("element", *[F.col(c).alias(f"{c}_2") for c in table.columns if c != "element"])
+    # The smaller of two sets at the threshold has at least so many of its elements in common.
+    left = table.where(f"(n - at) * {100 + percent} >= 2 * n * {percent}")
     needed = f"(n + n_2) * {percent}"
     enough = f"(n - at) * {100 + percent} >= {needed} and (n_2 - at_2) * {100 + percent} >= {needed}"
     return (
         left.join(right, "element")
-        .where((F.col("node") < F.col("node_2")) & (F.col("component") != F.col("component_2")) & F.expr(enough))
-        .where(near_enough("", "_2", percent))
-        .select(F.col("node").alias("a"), F.col("node_2").alias("b"))
+        .where("(n < n_2 or (n = n_2 and node < node_2)) and component <> component_2")
+        .where(enough)
+        .where(near_enough("", "_2", percent, words))
+        .select(F.least("node", "node_2").alias("a"), F.greatest("node", "node_2").alias("b"))
         .distinct()
     )
 
