@@ -11,6 +11,24 @@ import numpy as np
 # Texts with other uses of the space, white space followed by a space, are encoded as a whole.
 _WHOLE = re.compile(r"\s ")
 
+# Fixed values of byte-level BPE, for printable ASCII, tab, line ends and the letters from U+00C0 to U+00FF: a word
+# is a contraction, letters, digits or marks with the space before them, or white space.
+_PLAIN = re.compile(r"[\x20-\x7e\t\n\rÀ-ÖØ-öø-ÿ]*")
+_WORDS = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^\sA-Za-z0-9À-ÖØ-öø-ÿ]+|\s+(?!\S)|\s+")
+
+
+def _letters() -> dict[int, str]:
+    """How the model writes the characters of plain pieces: bytes that are no visible Latin-1 character are
+    numbered on from letter 256."""
+    visible = {*range(0x21, 0x7F), *range(0xA1, 0x100)} - {0xAD}
+    hidden = [byte for byte in range(256) if byte not in visible]
+    letter = {byte: chr(byte) for byte in visible} | {byte: chr(256 + n) for n, byte in enumerate(hidden)}
+    return {c: "".join(letter[byte] for byte in chr(c).encode()) for c in [*range(0x80), *range(0xC0, 0x100)]}
+
+
+_LETTERS = _letters()
+_SPECIAL = "<|"
+
 
 class TextEncoder:
     """Encodes texts to little-endian unsigned 32-bit ids; equal pieces are encoded once.
@@ -26,7 +44,10 @@ class TextEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # Ids by piece: of pieces that begin a text, of pieces after a space (kept without it), of words.
+        self.first: dict[str, bytes] = {"": b""}
         self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
         self.most = most
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
@@ -36,20 +57,29 @@ class TextEncoder:
             out.extend(np.array(encoding.ids, "<u4").tobytes() for encoding in found)
         return out
 
+    def _by_words(self, piece: str) -> bytes:
+        """The ids of a piece of plain characters, word by word through the tokenizer's model."""
+        out = []
+        for word in _WORDS.findall(piece):
+            ids = self.words.get(word)
+            if ids is None:
+                found = [token.id for token in self.tokenizer.model.tokenize(word.translate(_LETTERS))]
+                ids = pack("<%dI" % len(found), *found)
+                if len(self.words) < self.most:
+                    self.words[word] = ids
+            out.append(ids)
+        return b"".join(out)
+
     def _pieces(self, pieces: list[str]) -> dict[str, bytes]:
         """The ids of each piece.
 
-        A space and ASCII letters are one word to the tokenizer, so its model
-        takes them as they are; ``Ġ`` is its letter for the space.  Other pieces
-        of a space and more, the last character no white space, are encoded many
-        in a row and parted by their places.
+        Plain pieces go word by word.  Other pieces of a space and more, the
+        last character no white space, are encoded many in a row and parted by
+        their places; the rest one by one.
         """
-        found = {}
-        split = self.tokenizer.model.tokenize
-        for piece in pieces:
-            word = piece[1:]
-            if piece[0] == " " and word.isascii() and word.isalpha():
-                found[piece] = pack("<%dI" % len(ids := [token.id for token in split("Ġ" + word)]), *ids)
+        found = {
+            piece: self._by_words(piece) for piece in pieces if _PLAIN.fullmatch(piece) and _SPECIAL not in piece
+        }
         pieces = [piece for piece in pieces if piece not in found]
         alone = [piece for piece in pieces if len(piece) < 2 or piece[0] != " " or piece[1].isspace() or piece[-1].isspace()]
         found.update(zip(alone, self._encoded(alone)))
@@ -66,31 +96,35 @@ class TextEncoder:
                 last = end
         return found
 
+    def _learned(self, known: dict[str, bytes], wanted: set[str], before: str) -> dict[str, bytes]:
+        """A table with the ids of all ``wanted``: ``known`` itself as long as it has room."""
+        new = wanted.difference(known)
+        if not new:
+            return known
+        found = self._pieces([before + piece for piece in new])
+        now = {piece[len(before):]: ids for piece, ids in found.items()}
+        if len(known) + len(now) <= self.most:
+            known.update(now)
+            return known
+        now.update((piece, known[piece]) for piece in wanted.difference(now) if piece in known)
+        return now
+
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        pieces: list[list[str] | None] = []
-        for text in texts:
-            if not text or _WHOLE.search(text):
-                pieces.append(None)
-                continue
-            # Every piece but the first carries its space.
-            first, *rest = text.split(" ")
-            pieces.append([first, *[" " + piece for piece in rest]])
-        new = {piece for own in pieces if own for piece in own if piece not in self.known}
-        new.discard("")
-        now = self._pieces(list(new))
-        now[""] = b""
-        if len(self.known) + len(now) <= self.most:
-            self.known.update(now)
-            now = {}
-        known = self.known
+        # Every piece but the first of a text carries the space before it.
+        pieces = [text.split(" ") if text and not _WHOLE.search(text) else None for text in texts]
+        starts, rest = set(), set()
+        for own in pieces:
+            if own:
+                starts.add(own[0])
+                rest.update(own[1:])
+        first = self._learned(self.first, starts, "")
+        known = self._learned(self.known, rest, " ").__getitem__
         out = []
         for text, own in zip(texts, pieces):
             if own is None:
                 out.append(self._encoded([text])[0] if text else b"")
-            elif now:
-                out.append(b"".join([known.get(piece) or now.get(piece, b"") for piece in own]))
             else:
-                out.append(b"".join([known[piece] for piece in own]))
+                out.append(b"".join([first[own[0]], *map(known, own[1:])]))
         return out
 
 

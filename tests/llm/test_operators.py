@@ -248,6 +248,22 @@ def test_token_output(docs):
     assert sorted(found, key=lambda r: r[1]) == want
 
 
+def test_encoder_equals_the_library():
+    from tokenizers import Tokenizer
+
+    from salesloom.llm.tokens import TextEncoder
+
+    path = token_output.tokenizer_path("byte_bpe_50k.json")
+    exact, fast = Tokenizer.from_file(path), TextEncoder(path, most=200)
+    parts = [" ", "  ", "\n", "\t", "\r\n", "\x0b", "\x1c", "\xa0", "\xad", "a", "The", "'s", "'LL", "''", "12", "3.5"]
+    parts += ["<|endoftext|>", "<|", "|>", "é", "Àß", "×", "÷", "ÿ", "数字", "😀", "...", "-", "it's", "ſ", "\x00"]
+    r = random.Random(4)
+    for _ in range(10):
+        texts = ["".join(r.choices(parts, k=r.randint(0, 12))) for _ in range(400)]
+        want = [exact.encode(text, add_special_tokens=False).ids for text in texts]
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in fast(texts)] == want
+
+
 def test_read_one_document(spark, docs, tmp_path):
     settings = token_output.Settings(shard_documents=4)
     shards = token_output.write_token_files(docs.where("doc_id = 1"), str(tmp_path), settings).collect()
