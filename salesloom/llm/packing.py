@@ -7,7 +7,8 @@ deals the pieces out by their rank among pieces of equal length.
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,17 +23,26 @@ from salesloom.llm.tokens import encoder, tokenizer_path
 
 @dataclass(frozen=True)
 class Settings:
-    """``lengths`` are the permitted bins; a bin costs its length and ``overhead`` more.
+    """``lengths`` are the permitted bins.
+
+    A bin of ``n`` tokens costs ``overhead + n + n * n / attention``: a fixed
+    part per sequence, work in proportion to the tokens, and attention, which
+    costs as much as the rest at ``attention`` tokens.  Cheap long bins
+    (``attention`` large) favour the longest, dear ones the shortest that fits.
 
     ``rows_per_rank``: about so many pieces of a length are ranked in one task.
     """
 
     lengths: tuple[int, ...] = (512, 1024, 2048, 4096)
     overhead: int = 32
+    attention: int = 8192
     end_tokens: int = 1
     tokenizer: str = "byte_bpe_50k.json"
     rows_per_rank: int = 1_000_000
 
+    def cost(self, length: int) -> float:
+        return self.overhead + length + length * length / self.attention
+
 
 @dataclass(frozen=True)
 class Share:
@@ -46,27 +56,58 @@ class Share:
     offset: int
 
 
-def plan(counts: dict[int, int], settings: Settings) -> list[Share]:
-    """Best-fit decreasing over pieces of equal length at a time.
+class _Forecast:
+    """The pieces still to come that no open bin is expected to take, by length."""
 
-    Pieces go, longest first, to the open bins with the least room that takes
-    them.  If none does, bins of the size with the least cost for each token it
-    can be filled with are opened, as far as the tokens still to come can fill it.
-    """
+    def __init__(self, counts: dict[int, int]):
+        self.free = dict(counts)
+        self.lengths = sorted(counts)
+
+    def fill(self, size: int, length: int, left: int) -> dict[int, int]:
+        """What best-fit decreasing would put into an empty bin of ``size`` that begins with ``length``."""
+        content = {length: min(size // length, left)}
+        room = size - length * content[length]
+        at = min(bisect_left(self.lengths, length), bisect_right(self.lengths, room)) - 1
+        while at >= 0 and room:
+            other = self.lengths[at]
+            content[other] = min(room // other, self.free[other])
+            room -= other * content[other]
+            at = min(at, bisect_right(self.lengths, room)) - 1
+        return content
+
+    def take(self, length: int, count: int) -> None:
+        left = self.free.get(length, 0) - count
+        if left > 0:
+            self.free[length] = left
+        elif length in self.free:
+            del self.free[length]
+            self.lengths.pop(bisect_left(self.lengths, length))
+
+
+def _planned(counts: dict[int, int], sizes: list[int], settings: Settings) -> tuple[float, list[Share]]:
+    """Best-fit decreasing with bins of ``sizes``: what the bins cost cut down to their contents, and the shares."""
     lengths = sorted(settings.lengths)
     # Open bins by room: (room, used) -> list of (first bin, number of bins).
     open_bins: dict[tuple[int, int], list[tuple[int, int]]] = {}
     rooms: list[tuple[int, int]] = []
     shares: list[Share] = []
+    closed: Counter[int] = Counter()
+    to_come = _Forecast(counts)
     next_bin = 0
-    to_come = sum(length * count for length, count in counts.items())
+
+    def downsized(used: int) -> float:
+        return settings.cost(lengths[bisect_left(lengths, used)])
 
     def put(room: int, used: int, first: int, bins: int) -> None:
-        if room > 0 and bins:
-            if (room, used) not in open_bins:
-                open_bins[room, used] = []
-                insort(rooms, (room, used))
-            open_bins[room, used].append((first, bins))
+        if not bins:
+            return
+        if not room:
+            closed[used] += bins
+            return
+        if (room, used) not in open_bins:
+            open_bins[room, used] = []
+            insort(rooms, (room, used))
+        open_bins[room, used].append((first, bins))
 
     for length in sorted(counts, reverse=True):
         left, rank = counts[length], 0
@@ -85,18 +126,64 @@ def plan(counts: dict[int, int], settings: Settings) -> list[Share]:
                 shares.append(Share(length, rank, taken, first, each, used))
                 put(room - each * length, used + each * length, first, bins_taken)
             else:
-                fitting = [size for size in lengths if size >= length]
-                size = min(fitting, key=lambda s: ((s + settings.overhead) / min(s, max(length, to_come)), s))
-                each = min(size // length, left)
-                bins_taken = left // each
+                best = None
+                for size in sizes:
+                    if size >= length:
+                        content = to_come.fill(size, length, left)
+                        tokens = sum(n * times for n, times in content.items())
+                        each_token = downsized(tokens) / tokens
+                        if best is None or each_token < best[0]:
+                            best = each_token, size, content
+                _, size, content = best
+                each = content.pop(length)
+                # As many bins as the forecast fills alike; the others look at what is left then.
+                bins_taken = min([left // each, *(to_come.free[n] // times for n, times in content.items())])
                 taken = bins_taken * each
+                for n, times in content.items():
+                    to_come.take(n, times * bins_taken)
                 shares.append(Share(length, rank, taken, next_bin, each, 0))
                 put(size - each * length, each * length, next_bin, bins_taken)
                 next_bin += bins_taken
             rank += taken
             left -= taken
-            to_come -= taken * length
-    return shares
+        to_come.take(length, counts[length])
+    for (_, used), groups in open_bins.items():
+        closed[used] += sum(bins for _, bins in groups)
+    return sum(bins * downsized(used) for used, bins in closed.items()), shares
+
+
+def plan(counts: dict[int, int], settings: Settings) -> list[Share]:
+    """Variable-capacity best-fit over pieces of equal length at a time.
+
+    Pieces go, longest first, to the open bins with the least room that takes
+    them.  If none does, a bin is opened of the size whose expected contents,
+    taken from the table of all lengths to come, cost least for each token.
+    Which sizes take part is settled jointly: all of them, each single one that
+    takes the longest piece, and then the best set without one size at a time
+    as long as that costs less.  So no packing with bins of one size, cut down
+    to their contents, is cheaper.  Ties go to the set tried first, the smaller
+    size, the bin with less in it.
+    """
+    if not counts:
+        return []
+    lengths, longest = sorted(settings.lengths), max(counts)
+    best, sizes = _planned(counts, lengths, settings), lengths
+    for size in lengths:
+        if size >= longest and len(lengths) > 1:
+            tried = _planned(counts, [size], settings)
+            if tried[0] < best[0]:
+                best, sizes = tried, [size]
+    while len(sizes) > 1:
+        fewer = [[n for n in sizes if n != size] for size in sizes]
+        tried = min(
+            ((_planned(counts, some, settings), some) for some in fewer if some[-1] >= longest),
+            key=lambda found: found[0][0],
+            default=None,
+        )
+        if tried is None or tried[0][0] >= best[0]:
+            break
+        best, sizes = tried
+    return best[1]
 
 
 def _counted(path: str, end_tokens: int):
@@ -165,7 +252,7 @@ def packed(counts: DataFrame, settings: Settings = Settings()) -> DataFrame:
         .join(before, ["length", "slice"])
         .withColumn("rank", F.col("before") + F.col("in_slice") - 1)
     )
-    # The plan has at most a few rows per length up to the longest bin: a bounded table.
+    # The plan has a few rows per length up to the longest bin (under 10,000 at 4,096), however many pieces there are.
     placed = ranked.join(
         F.broadcast(dealt),
         (F.col("length") == F.col("p_length"))

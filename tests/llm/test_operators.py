@@ -303,6 +303,53 @@ def test_packing_plan_places_each_piece_once():
         assert Counter(length for length, _ in placed) == Counter(counts)
 
 
+def bins_of(shares, lengths):
+    """Bins by the smallest permitted length that holds their contents."""
+    used = defaultdict(int)
+    for share in shares:
+        for rank in range(share.count):
+            used[share.bin + rank // share.each] += share.length
+    return Counter(min(n for n in lengths if n >= tokens) for tokens in used.values())
+
+
+def one_size(counts, size):
+    """Best-fit decreasing, piece by piece, into bins of one size: what each bin holds."""
+    bins = []
+    for length in sorted((n for n, times in counts.items() for _ in range(times)), reverse=True):
+        fitting = [at for at, used in enumerate(bins) if used + length <= size]
+        if fitting:
+            bins[max(fitting, key=bins.__getitem__)] += length
+        else:
+            bins.append(length)
+    return bins
+
+
+@pytest.mark.parametrize("attention", [64, 128, 1_000_000])
+def test_packing_costs_no_more_than_bins_of_one_size(attention):
+    settings = packing.Settings(lengths=(16, 32, 64), overhead=2, attention=attention)
+    cheaper = 0
+    for trial in range(20):
+        r = random.Random(trial)
+        counts = {n: r.randint(1, 30) for n in r.sample(range(1, 65), 20)}
+        cost = sum(settings.cost(n) * times for n, times in bins_of(packing.plan(counts, settings), settings.lengths).items())
+        single = sum(settings.cost(min(n for n in settings.lengths if n >= used)) for used in one_size(counts, 64))
+        assert cost <= 1.02 * single
+        cheaper += cost < single
+    assert attention > 1000 or cheaper > 10
+
+
+def test_packing_uses_all_sizes_where_that_costs_less():
+    settings = packing.Settings()
+    r = random.Random(8)
+    counts = Counter(min(4096, int(r.lognormvariate(6.3, 1)) + 1) for _ in range(5000))
+    found = bins_of(packing.plan(counts, settings), settings.lengths)
+    assert set(found) == set(settings.lengths)
+    single = bins_of(packing._planned(counts, [4096], settings)[1], settings.lengths)
+    costs = [sum(settings.cost(n) * times for n, times in bins.items()) for bins in (found, single)]
+    assert costs[0] < 0.95 * costs[1]
+    assert sum(n * times for n, times in found.items()) < 1.01 * sum(n * times for n, times in counts.items())
+
+
 def shingle_set(text):
     words = re.findall(rb"[^\x20\x09-\x0d]+", (text or "").encode().lower())
     return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
