@@ -303,6 +303,17 @@ def test_packing_plan_places_each_piece_once():
         assert Counter(length for length, _ in placed) == Counter(counts)
 
 
+def test_equal_rows_span_shards_and_left_over_files_mean_nothing(spark, tmp_path):
+    rows = spark.createDataFrame([(5, "same words here")] * 60 + [(4, "a"), (6, None)], "doc_id long, text string")
+    folder, settings = str(tmp_path), token_output.Settings(shard_documents=8)
+    shards = [r for r in token_output.write_token_files(rows, folder, settings).collect() if r.documents]
+    assert len(shards) >= 4 and max(r.documents for r in shards) <= 30
+    (tmp_path / "shard-00000-lost.bin").write_bytes(b"cut off")
+    found = sorted(token_output.read_token_files(spark, folder, settings).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in found] == [4, *[5] * 60, 6]
+    assert [r.start for r in found] == [sum(r.n_tokens for r in found[:n]) for n in range(62)]
+
+
 def bins_of(shares, lengths):
     """Bins by the smallest permitted length that holds their contents."""
     used = defaultdict(int)
