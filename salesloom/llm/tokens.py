@@ -33,11 +33,12 @@ _SPECIAL = "<|"
 class TextEncoder:
     """Encodes texts to little-endian unsigned 32-bit ids; equal pieces are encoded once.
 
-    ``most`` bounds the pieces remembered for good; the others are remembered
-    for one batch.  The ids are those of the library on the whole text.
+    ``most`` bounds the pieces remembered for good, half as many words besides;
+    the others are remembered for about ``stretch`` characters, which are taken
+    apart at a time.  The ids are those of the library on the whole text.
     """
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = 400_000, stretch: int = 2_000_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -49,6 +50,7 @@ class TextEncoder:
         self.known: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
         self.most = most
+        self.stretch = stretch
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
@@ -65,7 +67,7 @@ class TextEncoder:
             if ids is None:
                 found = [token.id for token in self.tokenizer.model.tokenize(word.translate(_LETTERS))]
                 ids = pack("<%dI" % len(found), *found)
-                if len(self.words) < self.most:
+                if len(self.words) < self.most // 2:
                     self.words[word] = ids
             out.append(ids)
         return b"".join(out)
@@ -109,23 +111,44 @@ class TextEncoder:
         now.update((piece, known[piece]) for piece in wanted.difference(now) if piece in known)
         return now
 
-    def __call__(self, texts: list[str | None]) -> list[bytes]:
+    def _ids(self, texts: list[str]) -> list[bytes]:
         # Every piece but the first of a text carries the space before it.
-        pieces = [text.split(" ") if text and not _WHOLE.search(text) else None for text in texts]
+        pieces = [text.split(" ") for text in texts]
         starts, rest = set(), set()
         for own in pieces:
-            if own:
-                starts.add(own[0])
-                rest.update(own[1:])
+            starts.add(own[0])
+            rest.update(own[1:])
         first = self._learned(self.first, starts, "")
         known = self._learned(self.known, rest, " ").__getitem__
-        out = []
-        for text, own in zip(texts, pieces):
-            if own is None:
-                out.append(self._encoded([text])[0] if text else b"")
-            else:
-                out.append(b"".join([first[own[0]], *map(known, own[1:])]))
-        return out
+        return [b"".join([first[own[0]], *map(known, own[1:])]) for own in pieces]
+
+    def __call__(self, texts: list[str | None]) -> list[bytes]:
+        out: list[list[bytes]] = [[] for _ in texts]
+        places: list[int] = []
+        stretches: list[str] = []
+        size = 0
+        for n, text in enumerate(texts):
+            if not text:
+                continue
+            if _WHOLE.search(text):
+                out[n].extend(self._encoded([text]))
+                continue
+            start = 0
+            while start < len(text):
+                # A long text is parted before a space, where no token reaches across.
+                end = text.find(" ", start + self.stretch)
+                end = len(text) if end < 0 else end
+                places.append(n)
+                stretches.append(text[start:end])
+                size += end - start
+                start = end
+                if size >= self.stretch:
+                    for place, ids in zip(places, self._ids(stretches)):
+                        out[place].append(ids)
+                    places, stretches, size = [], [], 0
+        for place, ids in zip(places, self._ids(stretches)):
+            out[place].append(ids)
+        return [b"".join(ids) for ids in out]
 
 
 _encoders: dict[tuple[str, int], TextEncoder] = {}

@@ -254,7 +254,7 @@ def test_encoder_equals_the_library():
     from salesloom.llm.tokens import TextEncoder
 
     path = token_output.tokenizer_path("byte_bpe_50k.json")
-    exact, fast = Tokenizer.from_file(path), TextEncoder(path, most=200)
+    exact, fast = Tokenizer.from_file(path), TextEncoder(path, most=200, stretch=7)
     parts = [" ", "  ", "\n", "\t", "\r\n", "\x0b", "\x1c", "\xa0", "\xad", "a", "The", "'s", "'LL", "''", "12", "3.5"]
     parts += ["<|endoftext|>", "<|", "|>", "é", "Àß", "×", "÷", "ÿ", "数字", "😀", "...", "-", "it's", "ſ", "\x00"]
     r = random.Random(4)
