@@ -25,17 +25,6 @@ class _Brackets:
     size: int
     ranges: tuple[tuple[float, float], ...]
 
-    def bin(self, bins: int) -> Column:
-        """A number that rises with the value, by which a value is found in the histogram."""
-        value = F.col(f"`{self.column}`").cast("double")
-        out, step = None, bins + 3
-        for i, (low, high) in enumerate(self.ranges):
-            inside = F.lit(0) if low == high else F.width_bucket(value, F.lit(low), F.lit(high), F.lit(bins))
-            below, within = F.lit(i * step), F.lit(i * step + 1) + inside.cast("int")
-            out = F.when(value < low, below) if out is None else out.when(value < low, below)
-            out = out.when(value <= high, within)
-        return F.when(value.isNotNull(), out.otherwise(F.lit(len(self.ranges) * step)))
-
 
 def _brackets(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> tuple[list[_Brackets], list[str]]:
     """Brackets around the quantiles of each column from one scan, and the columns with values that are not finite."""
@@ -70,13 +59,35 @@ def _brackets(df: DataFrame, columns: Sequence[str], probabilities: Sequence[flo
     return found, wild
 
 
+def _bin(brackets: Sequence[_Brackets], bins: int) -> Column:
+    """A number that rises with ``value`` in the column numbered ``at``, by which a value is found in the histogram."""
+
+    def of_column(values: list) -> Column:
+        return F.get(F.array(*[F.lit(v).cast("double") for v in values]), F.col("at"))
+
+    value, out, step = F.col("value"), None, bins + 3
+    for i in range(max(len(b.ranges) for b in brackets)):
+        # A column with fewer ranges has NULL here, and no value compares with it.
+        low, high = (of_column([b.ranges[i][end] if i < len(b.ranges) else None for b in brackets]) for end in (0, 1))
+        inside = F.when(low == high, F.lit(0)).otherwise(F.width_bucket(value, low, high, F.lit(bins)))
+        below, within = F.lit(i * step), F.lit(i * step + 1) + inside.cast("int")
+        out = F.when(value < low, below) if out is None else out.when(value < low, below)
+        out = out.when(value <= high, within)
+    above = F.get(F.array(*[F.lit(len(b.ranges) * step) for b in brackets]), F.col("at"))
+    return out.otherwise(above)
+
+
 def _binned(df: DataFrame, brackets: Sequence[_Brackets], bins: int) -> DataFrame:
-    """``(column_name, bin, value)`` of every value."""
+    """``(at, bin, value)`` of every value, with the number of its column.
+
+    Values come first, one expression for all columns then finds the bins:
+    spelled out per column, the code is too long to be compiled.
+    """
     pairs = [
-        F.struct(F.lit(b.column).alias("column_name"), b.bin(bins).alias("bin"), F.col(f"`{b.column}`").cast("double").alias("value"))
-        for b in brackets
+        F.struct(F.lit(i).alias("at"), F.col(f"`{b.column}`").cast("double").alias("value")) for i, b in enumerate(brackets)
     ]
-    return df.select(F.inline(F.array(*pairs))).where("bin is not null")
+    values = df.select(F.inline(F.array(*pairs))).where("value is not null")
+    return values.select("at", _bin(brackets, bins).alias("bin"), "value")
 
 
 def exact_quantiles(
@@ -95,10 +106,10 @@ def exact_quantiles(
     not finite are counted by value as a whole; columns without values give no rows.
     """
     brackets, wild = _brackets(df, columns, probabilities)
-    shape = "column_name string, probability double, low_rank long, high_rank long, weight double"
+    shape = "at int, column_name string, probability double, low_rank long, high_rank long, weight double"
     wanted = [
-        (b.column, float(p), floor((b.size - 1) * p), ceil((b.size - 1) * p), (b.size - 1) * p - floor((b.size - 1) * p))
-        for b in brackets
+        (i, b.column, float(p), floor((b.size - 1) * p), ceil((b.size - 1) * p), (b.size - 1) * p - floor((b.size - 1) * p))
+        for i, b in enumerate(brackets)
         for p in probabilities
     ]
     whole = _by_counting(df, wild, probabilities, single_task_rows) if wild else None
@@ -106,27 +117,27 @@ def exact_quantiles(
         return whole if whole is not None else df.sparkSession.createDataFrame([], "column_name string, probability double, quantile double")
 
     # At most `bins` and a few rows per quantile and column.
-    histogram = _binned(df, brackets, bins).groupBy("column_name", "bin").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("column_name").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    histogram = _binned(df, brackets, bins).groupBy("at", "bin").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("at").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     placed = histogram.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
     targets = df.sparkSession.createDataFrame(wanted, shape)
 
     def holds(rank: str) -> Column:
         return (F.col("before") <= F.col(rank)) & (F.col(rank) < F.col("before") + F.col("n"))
 
-    chosen = placed.join(F.broadcast(targets), "column_name").where(holds("low_rank") | holds("high_rank"))
+    chosen = placed.join(F.broadcast(targets), "at").where(holds("low_rank") | holds("high_rank"))
     # Two bins per quantile and column.
-    found = chosen.select("column_name", "bin", "before").distinct().collect()
-    picked = df.sparkSession.createDataFrame(found, "column_name string, bin int, before long")
+    found = chosen.select("at", "bin", "before").distinct().collect()
+    picked = df.sparkSession.createDataFrame(found, "at int, bin int, before long")
     values = (
         _binned(df, brackets, bins)
-        .join(F.broadcast(picked), ["column_name", "bin"])
-        .groupBy("column_name", "bin", "before", "value")
+        .join(F.broadcast(picked), ["at", "bin"])
+        .groupBy("at", "bin", "before", "value")
         .agg(F.count("*").alias("n"))
     )
-    upto = running_totals(values, ["value"], "n", "upto", ["column_name", "bin"], single_task_rows=single_task_rows)
+    upto = running_totals(values, ["value"], "n", "upto", ["at", "bin"], single_task_rows=single_task_rows)
     ranked = upto.withColumn("before", F.col("before") + F.col("upto") - F.col("n"))
-    hits = ranked.join(F.broadcast(targets), "column_name").where(holds("low_rank") | holds("high_rank"))
+    hits = ranked.join(F.broadcast(targets), "at").where(holds("low_rank") | holds("high_rank"))
     neighbours = hits.groupBy("column_name", "probability").agg(
         F.max(F.when(holds("low_rank"), F.col("value"))).alias("low"),
         F.max(F.when(holds("high_rank"), F.col("value"))).alias("high"),

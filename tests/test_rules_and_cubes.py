@@ -1,6 +1,7 @@
 """Declared rules, quantiles by brackets, totals kept beside the fact, checks in two scans."""
 
 import random
+import re
 from dataclasses import replace
 from datetime import date, timedelta
 
@@ -196,6 +197,19 @@ def test_quantiles_of_odd_columns(spark, bins):
     assert exact_quantiles(df.limit(0), names, ps).count() == 0
 
 
+def test_bins_of_many_columns_are_compiled(spark):
+    """The compiler of the JVM leaves methods beyond 8,000 bytes to its interpreter."""
+    from salesloom.operators import quantiles
+
+    names = [f"v{i}" for i in range(10)]
+    df = spark.range(1000).select(*[(F.col("id") * (i + 1) % 997).cast("decimal(18,2)").alias(n) for i, n in enumerate(names)])
+    brackets, _ = quantiles._brackets(df, names, (0.25, 0.5, 0.75))
+    binned = quantiles._binned(df, brackets, quantiles.BINS)
+    code = spark._jvm.PythonSQLUtils.explainString(binned._jdf.queryExecution(), "codegen")
+    sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert sizes and max(sizes) < 8000
+
+
 def test_quantiles_when_the_sketch_is_wrong(spark, monkeypatch):
     """Brackets that miss a quantile cost time, not the result."""
     from salesloom.operators import quantiles
