@@ -84,6 +84,53 @@ def test_ids_that_differ_in_a_key_are_marked(lines, tmp_path):
     assert star.repeats is None
 
 
+def test_many_repeated_ids_are_not_looked_up(lines, tmp_path, rows_of, monkeypatch):
+    """Rows move once, in the aggregate by id, and not once more for either side of a look-up."""
+    from salesloom.operators import counting
+
+    old, new = datetime(2020, 1, 1), datetime(2020, 1, 2)
+    staged = lines(
+        *[{"units_sold": u, "load_datetime": t, "net_sales": t.day} for u in range(9) for t in (old, new)], {"units_sold": 10}
+    )
+    star = build_star(staged, str(tmp_path / "a"), SPAN)
+    holed = star.fact.withColumn("transaction_id", F.when(F.col("units_sold") != 2, F.col("transaction_id")))
+    few = {policy: rows_of(facts.deduplicate(holed, policy)) for policy in ("latest", "keep_all")}
+    surplus, values = rows_of(facts.repeated_ids(holed)), rows_of(counting.repeated_values(holed, ["transaction_id"]))
+    monkeypatch.setattr(counting, "BROADCAST_ROWS", 0, raising=False)
+    latest = facts.deduplicate(holed, "latest")
+    assert rows_of(latest) == few["latest"] and latest.count() == 10
+    assert {int(r["net_sales"]) for r in latest.where("units_sold < 9").collect()} == {2}
+    assert "Join" not in latest._jdf.queryExecution().optimizedPlan().toString()
+    assert rows_of(facts.deduplicate(holed, "keep_all")) == few["keep_all"]
+    assert rows_of(facts.repeated_ids(holed)) == surplus
+    assert rows_of(counting.repeated_values(holed, ["transaction_id"])) == values
+    with pytest.raises(ValueError, match="9 repeated"):
+        facts.deduplicate(star.fact, "error")
+
+
+def test_repeated_ids_are_counted_without_a_sort(spark, rows_of):
+    keys = "transaction_id string, date_key int, product_key long, segment_key long, geography_key long, discount_key long"
+    fact = spark.createDataFrame(
+        [
+            ("same", 1, 1, 1, 1, None, True), ("same", 1, 1, 1, 1, None, True), ("same", 1, 1, 1, 1, None, True),
+            ("other", 1, 1, 1, 1, 1, False), ("other", 1, 2, 1, 1, 1, False),
+            ("holed", 1, 1, 1, 1, 1, True), ("holed", None, 1, 1, 1, 1, True),
+            ("once", 1, 1, 1, 1, 1, False), (None, 1, 1, 1, 1, 1, False), (None, 1, 1, 1, 1, 1, False),
+        ],
+        f"{keys}, has_missing_keys boolean",
+    )
+    for large in (True, False):
+        found = facts.repeated_ids(fact, large)
+        assert rows_of(found) == sorted(
+            [
+                ("same", 1, 1, 1, 1, None, True, 2, False), ("other", 1, 1, 1, 1, 1, False, 1, True),
+                ("holed", None, 1, 1, 1, 1, True, 1, True), (None, 1, 1, 1, 1, 1, False, 2, False),
+            ],
+            key=str,
+        )
+        assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def updates(star, **changes):
     return star.fact.drop("sale_year").withColumns(changes)
 
