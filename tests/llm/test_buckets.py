@@ -41,7 +41,7 @@ def test_a_pair_that_was_rejected_is_not_asked_by_rare_elements(spark):
 
 def test_every_pair_of_a_bucket_is_asked_once_components_are_open(spark):
     """Small and large buckets, and one whose smallest node has a size that keeps it from meeting the others."""
-    small, large, apart = range(10, 14), range(100, 101 + 2 * FEW), (200, 201)
+    small, large, apart = range(10, 14), range(100, 104 + 2 * FEW), (200, 201)
     rows = [(1, n, 10) for n in small] + [(2, n, 10) for n in large] + [(3, 200, 100), (3, 201, 10)]
     wanted = {p for group in (small, large) for p in combinations(group, 2)} | {apart}
     sets = _sets(spark, {n: list(range(10)) for _, n, _ in rows})
