@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,9 +23,19 @@ DAY_FORMATS = ("yyyy-MM-dd", "M/d/yyyy", "yyyy-MM-dd HH:mm:ss", "yyyy/MM/dd", "d
 
 
 def parse_day(text: Column, formats: Sequence[str] = DAY_FORMATS) -> Column:
-    """Date in ``text`` by the first format that fits; NULL where none does."""
+    """Date in ``text`` by the first format that fits; NULL where none does.
+
+    A format is tried only on text that has its separators: a text that does not
+    fit costs an exception, many times the reading of one that does.
+    """
     bare = F.trim(text)
-    return F.coalesce(*[F.try_to_timestamp(bare, F.lit(f)).cast("date") for f in formats])
+
+    def separated(day_format: str) -> Column:
+        # What stands in optional brackets need not be there.
+        marks = dict.fromkeys(c for c in day_format if c in "-/:" and "[" not in day_format)
+        return reduce(lambda a, b: a & b, [F.contains(bare, F.lit(c)) for c in marks], F.lit(True))
+
+    return F.coalesce(*[F.when(separated(f), F.try_to_timestamp(bare, F.lit(f))).cast("date") for f in formats])
 
 
 def hashed_key(columns: Sequence[str | Column]) -> Column:

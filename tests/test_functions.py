@@ -36,6 +36,20 @@ def test_parse_day(spark, text, expected):
     assert df.select(tx.parse_day(F.col("t"))).first()[0] == expected
 
 
+def test_parse_day_tries_a_format_on_text_with_its_separators_only(spark):
+    texts = [
+        "2014-06-01", "6/1/2014", "2014-06-01 10:11:12", "2014/06/01", "01-Jun-2014", "2014", "2014-06", "6/1-2014", "-/:",
+        "13/13/2014", "2014-02-30", "", None, "20140601", "2014-06-01T10:11:12",
+    ]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for formats in (tx.DAY_FORMATS, ("yyyy[-MM]", "yyyyMMdd"), ("yyyy-MM-dd'T'HH:mm:ss",)):
+        plain = F.coalesce(*[F.try_to_timestamp("t", F.lit(f)).cast("date") for f in formats])
+        rows = df.select(tx.parse_day(F.col("t"), formats).alias("found"), plain.alias("wanted")).collect()
+        assert [r.found for r in rows] == [r.wanted for r in rows]
+    plan = df.select(tx.parse_day(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("contains(") == sum(len(set(f) & set("-/:")) for f in tx.DAY_FORMATS)
+
+
 def test_hashed_key_marks_missing_fields(spark):
     df = spark.createDataFrame([("a", None, "c")], "x string, y string, z string")
     expected = hashlib.md5(b"a-_dbt_utils_surrogate_key_null_-c").hexdigest()
