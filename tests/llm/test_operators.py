@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -199,6 +200,51 @@ def test_substring_dedup(docs, hot):
     assert sorted((str(r[0]), *r[1:5]) for r in found) == sorted(brute_repeats(ROWS))
 
 
+def test_stretches_cover_each_string_once_whatever_texts_stand_before():
+    r = random.Random(6)
+    common = bytes(r.choices(b"abc ", k=200))
+    texts = [bytes(r.choices(b"abc ", k=r.choice([0, 1, 49, 50, 300]))) for _ in range(60)]
+    texts = [t + common[r.randint(0, 40) :] if r.random() < 0.5 else t for t in texts] + [bytes(r.choices(b"ab", k=90_000))]
+    settings = substring_dedup.Settings()
+    anchors, starts = defaultdict(set), Counter()
+    for order in (texts, texts[::-1]):
+        data, edges = substring_dedup._flat(pa.array([None, *order], pa.binary())[1:])
+        for stretch in substring_dedup.stretches(data, edges, settings):
+            for owner, anchor, first, last in zip(*[column.tolist() for column in stretch]):
+                assert edges[owner] <= first <= last <= edges[owner + 1] - settings.length
+                for start in range(first, last + 1):
+                    anchors[data[start : start + settings.length].tobytes()].add(anchor)
+                    starts[order[owner], start - int(edges[owner])] += 1
+    assert all(len(found) == 1 for found in anchors.values())
+    # Once in either order, of each copy of a text.
+    copies = Counter(texts)
+    assert starts == {(t, i): 2 * copies[t] for t in copies for i in range(len(t) - settings.length + 1)}
+
+
+def test_only_stretches_that_share_their_anchor_are_sorted(monkeypatch):
+    sorted_bytes = []
+    monkeypatch.setattr(
+        substring_dedup, "Sorter", lambda text, *rest: sorted_bytes.append(len(text)) or Sorter(text, *rest)
+    )
+    common = bytes(range(65, 65 + 55))
+    rows = [
+        (1, b"x" * 60, 4, 9, 11, 0),  # alone, in two documents
+        (2, b"y" * 60, 5, 5, 12, 0),  # alone, in one
+        (3, common + b"!", 3, 3, 13, 0),
+        (3, b"?" + common, 2, 7, 14, 0),
+        (4, b"z" * 50, 6, 8, 15, 30),  # a single string, cut out of a stretch
+    ]
+    names = ["shard", "part", "least", "most", "whole", "offset"]
+    kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*part), kinds)], names) for part in (rows[:3], rows[3:])
+    ]
+    find = substring_dedup._first_documents(substring_dedup.Settings())
+    found = [tuple(r.values()) for batch in find(iter(batches)) for r in batch.to_pylist()]
+    assert sorted(found) == [(11, 0, 10, 4), (13, 0, 5, 2), (14, 0, 6, 2), (15, 30, 30, 6)]
+    assert sorted_bytes == [2 * (56 + 1)]
+
+
 def test_induced_sort():
     for trial in range(300):
         r = random.Random(trial)
