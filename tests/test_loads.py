@@ -5,6 +5,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from salesloom.operators import merging
 from salesloom.operators.facts import deduplicate
 from salesloom.operators.merging import merge_fact, publish_fact, surplus_of
 from salesloom.plans import reports, warehouse
@@ -262,6 +263,26 @@ def test_only_files_with_a_changed_id_are_rewritten(spark, star, tmp_path):
     counts_agree(spark, star, added)
 
 
+def test_a_merge_makes_its_rows_once(spark, star, tmp_path, monkeypatch):
+    path = str(tmp_path / "fact")
+    fact = star.fact.drop("sale_year")
+    publish_fact(fact, path, buckets=2)
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(rows, policy):
+        def seen(batches):
+            for batch in batches:
+                made.add(len(batch))
+                yield batch
+
+        picked = deduplicate(rows, policy)
+        return picked.mapInArrow(seen, picked.schema)
+
+    monkeypatch.setattr(merging, "deduplicate", counted)
+    merged = merge_fact(spark, path, fact.unionByName(fact.withColumn("profit", F.lit(1).cast("decimal(18,2)"))), "latest")
+    assert made.value == merged.read(spark).count() == fact.select("transaction_id").distinct().count()
+
+
 @pytest.mark.parametrize("buckets", [3])
 def test_many_merges_keep_the_surplus_right(spark, star, tmp_path, buckets):
     path = str(tmp_path / "fact")
