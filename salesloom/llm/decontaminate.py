@@ -125,6 +125,14 @@ def _best_overlap(settings: Settings) -> Column:
     return F.array_max(F.transform(F.sequence(first, last), equal)) - needed
 
 
+def _near(side: str, window: int) -> list[Column]:
+    """The tokens of one side that a window over the hit can reach, and the place of the hit among them."""
+    place = F.col(f"{side}_tokens_at")
+    first = F.greatest(F.lit(0), place - (window - 1))
+    reached = F.slice(F.col(f"{side}_tokens"), first + 1, F.lit(2 * window - 1))
+    return [reached.alias(f"{side}_tokens"), (place - first).alias(f"{side}_tokens_at")]
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Per document with an overlap: id, text hash, the sorted ``items``, and ``hits`` (confirmed seed hits).
 
@@ -153,9 +161,15 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, settings: Settings = Setting
         found = (
             placed.join(F.broadcast(seeds.where(in_block)), "seed")
             .join(F.broadcast(items.where(in_block)), "item")
+            # All hits of a document are in memory together: they must not carry all its tokens, and a
+            # generator, unlike a plain projection, keeps the condition from being tried on these.
+            .select(ID, TEXT_HASH, "item", F.inline(F.array(F.struct(*_near("doc", settings.window), *_near("item", settings.window)))))
             .where(_best_overlap(settings) >= 0)
             .select(ID, TEXT_HASH, "item")
         )
+        if blocks > 1:
+            # A pass of its own: in one job all blocks would lie in memory side by side.
+            found = stored(found, "benchmark-hits")
         hits = found if hits is None else hits.unionByName(found)
     return hits.groupBy(ID, TEXT_HASH).agg(
         F.sort_array(F.collect_set("item")).alias("items"), F.count("*").alias("hits")

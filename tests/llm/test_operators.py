@@ -160,6 +160,39 @@ def test_decontamination_finds_short_items(spark):
     assert {r[ID] for r in found if r.contaminated} == wanted
 
 
+def test_decontamination_in_blocks_broadcasts_one_at_a_time(spark):
+    words = [f"w{i}" for i in range(400)]
+    items = [(i, " ".join(words[i * 20 : i * 20 + 20])) for i in range(20)]
+    rows = [(i, f"before {text} after" if i % 2 else "nothing of it") for i, text in items]
+    docs, benchmark = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    found = {}
+    for block in (100, 400_000):
+        hits = decontaminate.overlaps(docs, benchmark, decontaminate.Settings(block=block))
+        found[block] = sorted((r[ID], tuple(r["items"]), r["hits"]) for r in hits.collect())
+        broadcasts = hits._jdf.queryExecution().optimizedPlan().toString().count("strategy=broadcast")
+        # Of several blocks each was searched in a job before, and none is left to be broadcast with the others.
+        assert broadcasts == (0 if block == 100 else 2)
+    assert found[100] == found[400_000] and [r[0] for r in found[100]] == list(range(1, 20, 2))
+
+
+def test_hits_do_not_carry_the_whole_document(spark):
+    # 12,000 hits in 4,020 tokens: with all tokens in each hit these are 400 MB at once, and as many for the item.
+    phrase = " ".join(f"p{i}" for i in range(20))
+    long = " ".join([phrase] * 200 + [f"x{i}" for i in range(20)])
+    docs = spark.createDataFrame([(1, long), (2, "y " * 40 + phrase), (3, "nothing")], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(7, phrase), (8, "a b " + phrase)], "item_id long, text string")
+    hits = decontaminate.overlaps(docs, benchmark)
+    # Three masks per place, the last ones of an item only where they do not pass its end.
+    found = {r[ID]: (sorted(r["items"]), r["hits"]) for r in hits.collect()}
+    assert set(found) == {1, 2} and found[1][0] == found[2][0] == [7, 8]
+    assert found[1][1] == 200 * found[2][1]
+    lines = hits._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    checked = next(i for i, line in enumerate(lines) if "Filter" in line and "aggregate(" in line)
+    assert "Generate inline" in lines[checked + 1]
+    at = lines[checked + 1].index("[", lines[checked + 1].index("]"))
+    assert "doc_tokens" in lines[checked + 1][at:] and "Generate" in "".join(lines[checked + 2 :])
+
+
 def test_token_counts(docs):
     from tokenizers import Tokenizer, models, pre_tokenizers
 
@@ -193,6 +226,33 @@ def brute_repeats(rows, length=50):
         yield str(doc), len(data), sum(gone), len(re.findall(b"\1+", bytes(gone))), hashlib.sha256(kept).hexdigest()
 
 
+def test_anchor_bitmap_grows_with_the_shared_anchors(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "ANCHOR_BITS", 15)
+    rng, settings = np.random.default_rng(3), substring_dedup.Settings()
+    both, one = [rng.integers(0, 256, size, np.uint8).tobytes() for size in (100_000, 100_000)]
+    docs = spark.createDataFrame([(bytearray(both),), (bytearray(both + one),)], "data binary")
+    bitmap = substring_dedup._shared_anchors(docs, settings)
+    assert len(bitmap) > 1 << 12
+
+    def passed(text):
+        found = [anchors for _, anchors, _, _ in substring_dedup.stretches(*substring_dedup._flat(pa.array([text])), settings)]
+        return substring_dedup._in_bitmap(bitmap, np.concatenate(found))
+
+    assert passed(both).all() and passed(one).mean() < 0.1
+    assert substring_dedup._anchor_bits(0) == 15 and substring_dedup._anchor_bits(1 << 40) == substring_dedup.MOST_ANCHOR_BITS
+
+
+def test_substring_dedup_clears_what_is_used_up(spark, docs):
+    from salesloom.session import checkpoint_root
+    from salesloom.sources import storage
+
+    root = checkpoint_root(spark)
+    before = set(storage.names_in(spark, root))
+    assert substring_dedup.remove_repeats(docs).count() == len(ROWS)
+    left = set(storage.names_in(spark, root)) - before
+    assert not [name for name in left if name.startswith(("stretches", "shared-anchors"))]
+
+
 @pytest.mark.parametrize("hot", [20_000, 1])
 def test_substring_dedup(docs, hot):
     settings = substring_dedup.Settings(hot=hot, queue_rows=1000)
