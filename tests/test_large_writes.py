@@ -91,3 +91,26 @@ def test_an_arrival_is_written_by_several_tasks(spark, folder, tmp_path, monkeyp
     assert found == rows_of(expected.selectExpr(
         "transaction_date as day", "segment_key", "`count(1)` as sales", "cast(`sum(net_sales)` as double) as net_sales"
     ))
+
+
+def test_release_removes_the_shuffle_files_of_finished_steps(spark, tmp_path):
+    import time
+    from pathlib import Path
+
+    from salesloom.session import release
+
+    def shuffles():
+        folder = Path(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()[0].toString())
+        return {path.name for path in folder.rglob("shuffle_*.data")}
+
+    release(spark)
+    before = shuffles()
+    spark.range(10_000).repartition(3, "id").write.parquet(str(tmp_path / "rows"))
+    made = shuffles() - before
+    assert made
+    release(spark)
+    # Spark removes them on a thread of its own, well within the second that the JVM's proxies alone would wait.
+    until = time.monotonic() + 10
+    while shuffles() & made and time.monotonic() < until:
+        time.sleep(0.05)
+    assert not shuffles() & made
