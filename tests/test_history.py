@@ -66,6 +66,24 @@ def test_no_range_join_in_the_plan(tables):
         assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_rows_only_look_up_their_day(spark, tables, monkeypatch):
+    rows, versions, made, _ = tables
+    sorted_rows, carried = [], history._carried
+
+    def counted(found, *args):
+        sorted_rows.append(found.count())
+        return carried(found, *args)
+
+    monkeypatch.setattr(history, "_carried", counted)
+    found = history.as_of(rows, versions, "product", "at", "starts", ["version"], most_in_row=0)
+    assert found.count() == len(made)
+    days = {(p, d) for p, d, _, _ in made if None not in (p, d)}
+    assert sum(sorted_rows) == len(days) + versions.where("product is not null and starts is not null").count()
+    # A row carries no more than its own columns through the plan, and no shuffle moves it.
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_fact_at_the_version_of_the_day(spark, lines):
     sold = lines(
         {"manufacturing_price": 3},
