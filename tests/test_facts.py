@@ -182,6 +182,32 @@ def test_upsert_rejects_repeated_keys_and_keeps_the_table(spark, lines, tmp_path
     assert inc.upsert(spark, path, twice.limit(0)).count() == 1
 
 
+def test_upsert_writes_the_rows_once_and_leaves_nothing(spark, lines, tmp_path, monkeypatch):
+    from salesloom.session import checkpoint_root
+    from salesloom.sources import storage
+
+    star = build_star(lines({}, {"product_name": "Vase"}), str(tmp_path / "s"), SPAN)
+    path, fact, writes = str(tmp_path / "fact"), star.fact.drop("sale_year"), []
+    before = set(storage.names_in(spark, checkpoint_root(spark)))
+    save_by_year(star.fact, path)
+    writer = inc.table_writer
+
+    def counted(df, *args):
+        writes.append(df)
+        return writer(df, *args)
+
+    monkeypatch.setattr(inc, "table_writer", counted)
+    dear = fact.withColumn("net_sales", F.lit(Decimal("99.00")))
+    # The updates, the rows picked of those that repeat, the merged rows: these go into the table without a copy between.
+    for changes, needed in ((dear, 2), (fact.unionByName(dear), 3)):
+        writes.clear()
+        out = inc.upsert(spark, path, changes, policy="latest")
+        assert [int(r["net_sales"]) for r in out.collect()] == [99, 99]
+        assert len(writes) == needed
+    left = set(storage.names_in(spark, checkpoint_root(spark))) - before
+    assert not [name for name in left if name.startswith("upsert")]
+
+
 def test_upsert_of_undated_rows(spark, lines, tmp_path):
     star = build_star(lines({}, {"transaction_date": None}), str(tmp_path / "s"), SPAN)
     path = str(tmp_path / "fact")
