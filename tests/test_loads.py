@@ -263,6 +263,30 @@ def test_only_files_with_a_changed_id_are_rewritten(spark, star, tmp_path):
     counts_agree(spark, star, added)
 
 
+def test_kept_rows_of_large_files_are_not_shuffled(spark, star, tmp_path, monkeypatch):
+    path, fact = str(tmp_path / "fact"), star.fact.drop("sale_year")
+    publish_fact(fact, path)
+    rows, plans, write = fact.count(), [], snapshots.write_parts
+
+    def written(df, *args, **more):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(df, *args, **more)
+
+    monkeypatch.setattr(snapshots, "write_parts", written)
+    one = fact.where("transaction_id is not null").orderBy("transaction_id").limit(1)
+    first = merge_fact(spark, path, one.withColumn("net_sales", F.lit(5).cast("decimal(18,2)")), "latest")
+    # The new row is grouped by folder; what stays of its file is written where it is read.
+    assert ["RebalancePartitions" in plan for plan in plans] == [True, False]
+    assert first.stamps["rewritten"] == 1 and len(first.parts) == len(snapshots.opened(spark, path, 1).files(spark)) + 1
+    counts_agree(spark, star, first)
+    # The small file of that merge is put together with the rows of the next.
+    second = merge_fact(spark, path, one.withColumn("net_sales", F.lit(6).cast("decimal(18,2)")), "latest")
+    assert len(second.parts) == len(first.parts) and second.read(spark).count() == first.read(spark).count() <= rows
+    id = one.first()["transaction_id"]
+    assert [int(r["net_sales"]) for r in second.read(spark).where(F.col("transaction_id") == id).collect()] == [6]
+    counts_agree(spark, star, second)
+
+
 def test_a_merge_makes_its_rows_once(spark, star, tmp_path, monkeypatch):
     path = str(tmp_path / "fact")
     fact = star.fact.drop("sale_year")
